@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thermaquilt.llm.ppm import held_out, score_texts
+
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out(F.col("doc_id")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thermaquilt.llm.mixing import draw_mix
 
@@ -43,6 +50,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thermaquilt.llm.near_dup import near_duplicate_classes
+
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thermaquilt.llm.chat_trees import format_paths, linear_trees, read_back, read_loss
 
