@@ -56,6 +56,12 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thermaquilt.llm.phrase_dedup import phrase_digests
+
+    return phrase_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from thermaquilt.llm.chat_trees import format_paths, linear_trees, read_back, read_loss
 
@@ -78,6 +84,13 @@ def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "p_quality", "p_toxic", F.col("is_toxic").alias("toxic"))
 
 
+def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from thermaquilt.llm.suffix_dedup import remove_repeated_bytes
+
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
