@@ -59,9 +59,10 @@ def anchors(texts: list[bytes], u: Units) -> tuple[np.ndarray, np.ndarray, np.nd
     return of[head], hashes[where[head]].view(np.int64), at[head], count, begin, end, first
 
 
-def unique_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, row, text): row is the id where ids are unique and not null, else a number that a staged copy of the table holds."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def unique_rows(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, row, text, rest): row is the id where ids are unique and not null, else a number that a staged copy of the table holds; rest holds the columns `keep`."""
+    rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), rest.alias("rest"))
     odd = rows.groupBy("id").count().where("id is null or count > 1").head(1)
     if not odd:
         return rows.withColumn("row", F.col("id"))

@@ -225,8 +225,10 @@ def hot_strings(pieces: DataFrame, n: int) -> DataFrame:
     return found.select("hash", "piece", "begins", F.col("begins").alias("ends"))
 
 
-def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept (binary).
+def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: id, n_bytes, n_removed, n_spans, kept (binary), kept_text, and the struct `rest` of the columns `keep`.
+
+    kept_text is kept without characters that a removed span has cut apart.
 
     A byte goes if a string of `length` bytes covers it that also starts at any
     other place of any row. Strings never cross rows and are judged on the input.
@@ -241,7 +243,7 @@ def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "
     rows are told apart by a number of their own. Extra columns are ignored.
     """
     u = Units(length, max(1, min(50, length // 8)), False)
-    rows = unique_rows(docs, id_col, text_col)
+    rows = unique_rows(docs, id_col, text_col, keep)
     texts = recurring_texts(rows, u, False)
     pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u), "suffix-pieces")
     different = stage_table(different_pieces(pieces), "suffix-different")
@@ -262,9 +264,9 @@ def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "
                 removed.append(int(len(text) - stay.sum()))
                 count.append(int((~stay[1:] & stay[:-1]).sum() + (len(stay) > 0 and not stay[0])))
                 kept.append(np.frombuffer(text, np.uint8)[stay].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())], names=["r", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept])], names=["r", "n_removed", "n_spans", "kept", "kept_text"])
 
-    changed = hit.mapInArrow(cut, "r long, n_removed long, n_spans long, kept binary")
+    changed = hit.mapInArrow(cut, "r long, n_removed long, n_spans long, kept binary, kept_text string")
     both = rows.join(changed, F.col("row") == F.col("r"), "left")
     none = F.lit(0).cast("long")
-    return both.select(F.col("id").alias(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept", F.col("text").cast("binary")).alias("kept"))
+    return both.select(F.col("id").alias(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept", F.col("text").cast("binary")).alias("kept"), F.coalesce("kept_text", "text").alias("kept_text"), "rest")

@@ -140,10 +140,11 @@ def score_chain(docs: DataFrame, chain: dict, *, keep: tuple[str, ...] = ("doc_i
     """The columns `keep` of every row and a probability p_<category> for each category, from the whole text; null text as empty."""
     model = docs.sparkSession.sparkContext.broadcast(chain["models"])
     names = [f"p_{c}" for c in chain["categories"]]
+    scored = text_col if text_col in keep else "text to score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for batch, texts in text_chunks(batches, "text_to_score"):
+        for batch, texts in text_chunks(batches, scored):
             sets = []
             for t in texts:
                 words = words_of(t)
@@ -163,7 +164,7 @@ def score_chain(docs: DataFrame, chain: dict, *, keep: tuple[str, ...] = ("doc_i
                 extra = np.column_stack([extra, p])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(extra[:, i]) for i in range(len(names)))], names=[*keep, *names])
 
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("text_to_score"))
+    rows = docs.select(*[F.col(c) for c in keep], *([] if text_col in keep else [F.col(text_col).alias(scored)]))
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{n} double" for n in names)])
     return rows.mapInArrow(run, schema)
 
