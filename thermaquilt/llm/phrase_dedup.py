@@ -80,7 +80,7 @@ def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str =
     Rows with the same id are not smaller than each other; null ids come after
     all others. No rows give no rows. Extra columns are ignored.
     """
-    u = Units(window, min(5, window), True)
+    u = Units(window, min(5, window), True, window)
     rows = unique_rows(docs, id_col, text_col)
     texts = recurring_texts(rows, u, True)
     pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u), "phrase-pieces")

@@ -3,9 +3,9 @@
 A window is n consecutive units (words or bytes) of one document. Each window
 has an anchor, the least-hashed gram of g units inside it, so equal windows have
 equal anchors. A piece is the run of windows with one anchor: windows that are
-equal anywhere are in pieces of the same anchor hash. Only anchors whose hash
-occurs twice or more can hold recurring windows, and only their pieces are cut
-out, compared and located.
+equal anywhere are in pieces of the same anchor hash. Only windows whose anchors
+all occur twice or more can recur, and only their pieces are cut out, compared
+and located.
 """
 
 from __future__ import annotations
@@ -29,34 +29,60 @@ BROADCAST_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Units:
-    """n units make a window, g of them an anchor's gram."""
+    """n units make a window, g of them an anchor's gram.
+
+    Stretches of `inner` units have anchors too. A window can recur only if the
+    anchors of all stretches inside it do, so the smaller inner is, the fewer
+    windows are left to compare, and the more anchors are counted.
+    """
 
     n: int
     g: int
     words: bool
+    inner: int
+
+
+@dataclass
+class Anchors:
+    """Of several texts: unit starts and ends in buf (words only), first unit of each text, and by window (inner or whole) its text, place and anchor."""
 
+    buf: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    hashes: np.ndarray
+    sizes: np.ndarray
 
-def anchors(texts: list[bytes], u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each piece: text number, anchor hash, first window, number of windows; and unit starts, unit ends, first unit of each text."""
+    def windows(self, length: int, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place in the text, and place of the anchor for every stretch of `length` units of texts with a window."""
+        best = window_minimum(self.hashes, length - u.g + 1)
+        count = np.where(self.sizes >= u.n, self.sizes - length + 1, 0)
+        of = np.repeat(np.arange(len(count)), count)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        return of, at, best[np.repeat(self.first, count) + at]
+
+
+def anchors(texts: list[bytes], u: Units) -> Anchors:
     buf, starts, ends = concat(texts)
     if u.words:
         begin, end = word_spans(buf)
         first, last = np.searchsorted(begin, starts), np.searchsorted(begin, ends)
         hashes = gram_hash(span_hash(prefix_hash(buf), begin, end), u.g)
     else:
-        begin, first, last, end = np.zeros(0, np.int64), starts, ends, np.zeros(0, np.int64)
+        begin = end = np.zeros(0, np.int64)
+        first, last = starts, ends
         at = np.arange(max(len(buf) - u.g + 1, 0))
         hashes = span_hash(prefix_hash(buf), at, at + u.g)
-    best = window_minimum(hashes, u.n - u.g + 1)
-    windows = np.maximum(last - first - u.n + 1, 0)
-    of = np.repeat(np.arange(len(texts)), windows)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-    where = best[np.repeat(first, windows) + at]
-    new = np.ones(len(of), bool)
-    new[1:] = (where[1:] != where[:-1]) | (of[1:] != of[:-1])
-    head = np.flatnonzero(new)
-    count = np.diff(np.append(head, len(of)))
-    return of[head], hashes[where[head]].view(np.int64), at[head], count, begin, end, first
+    return Anchors(buf, begin, end, first, hashes, last - first)
+
+
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where any of the keys changes."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
 
 def unique_rows(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -79,11 +105,14 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, "text"):
-            of, h, *_ = anchors(texts, u)
+            a = anchors(texts, u)
+            of, _, where = a.windows(u.inner, u)
+            head = _heads(of, where)
+            of, h = of[head], a.hashes[where[head]].view(np.int64)
             row = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[of]
             by = np.lexsort((h, row))
             h, row = h[by], row[by]
-            head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else np.zeros(0, np.int64)
+            head = _heads(h, row)
             times = np.diff(np.append(head, len(h)))
             yield pa.RecordBatch.from_arrays([pa.array(h[head]), pa.array(row[head]), pa.array(np.minimum(times, 2).astype(np.int32))], names=["hash", "row", "times"])
 
@@ -102,25 +131,37 @@ def cut_pieces(texts: DataFrame, u: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):
-            of, h, at, count, begin, end, first = anchors(raw, u)
+            a = anchors(raw, u)
+            of, _, where = a.windows(u.inner, u)
+            head = _heads(of, where)
             lists = batch.column(3)
+            edge = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             flat = lists.flatten().to_numpy(zero_copy_only=False)
-            sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
-            wanted = np.stack([np.repeat(np.arange(len(raw)), sizes), flat.view(np.int64)], 1)
-            keys = set(map(tuple, wanted.tolist()))
-            keep = [i for i, k in enumerate(zip(of.tolist(), h.tolist(), strict=True)) if k in keys]
+            own, text = a.hashes[where[head]].view(np.int64), of[head]
+            known = np.zeros(len(head), bool)
+            cut = np.searchsorted(text, np.arange(len(raw) + 1))
+            for k in range(len(raw)):
+                known[cut[k] : cut[k + 1]] = np.isin(own[cut[k] : cut[k + 1]], flat[edge[k] : edge[k + 1]])
+            odd = np.concatenate([[0], np.cumsum(np.repeat(~known, np.diff(np.append(head, len(of)))))])
+            inner_first = np.searchsorted(of, np.arange(len(raw)))
+            of, at, where = a.windows(u.n, u)
+            begin = inner_first[of] + at
+            good = odd[begin + u.n - u.inner + 1] == odd[begin]
+            of, at, where = of[good], at[good], where[good]
+            head = _heads(of, where, at - np.arange(len(at))) if len(of) else np.zeros(0, np.int64)
+            count = np.diff(np.append(head, len(of)))
+            of, at, h = of[head], at[head], a.hashes[where[head]].view(np.int64)
             contents = []
-            buf = concat(raw)[0].tobytes() if u.words else None
-            for i in keep:
-                a, b = int(at[i]), int(at[i] + count[i] - 1 + u.n)
+            buf = a.buf.tobytes() if u.words else b""
+            for k, i, n in zip(of.tolist(), at.tolist(), (count - 1 + u.n).tolist(), strict=True):
                 if u.words:
-                    base = int(first[of[i]])
-                    contents.append(b" ".join(buf[int(begin[base + a]) : int(end[base + b - 1])].split()))
+                    i += int(a.first[k])
+                    contents.append(b" ".join(buf[int(a.begin[i]) : int(a.end[i + n - 1])].split()))
                 else:
-                    contents.append(raw[of[i]][a:b])
-            take = pa.array(of[keep])
+                    contents.append(raw[k][i : i + n])
+            take = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[keep]), pa.array(np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at[keep].astype(np.int32)), pa.array(contents, pa.binary())],
+                [pa.array(h), pa.array(np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(contents, pa.binary())],
                 names=["hash", "piece", "id", "row", "first", "content"],
             )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermaquilt.llm.common import stage_table, text_chunks
+from thermaquilt.llm.common import prefix_hash, span_hash, stage_table, text_chunks
 from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, different_pieces, recurring_texts, unique_rows
 
 _MATCHES = "hash long, piece long, begins array<int>, ends array<int>"
@@ -209,20 +208,75 @@ def locate(rows: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=["hash", "piece", "begins", "ends"])
 
 
-def hot_strings(pieces: DataFrame, n: int) -> DataFrame:
-    """The matches of hot hashes' pieces: every window's digest, dealt by content and summed before the shuffle, joined back to the pieces."""
+_DIGEST = np.dtype([("a", "<u8"), ("b", "<u8")])
+#: Content of a shard of hot pieces, and windows of a bucket of digests: both bound what a task holds.
+SHARD_BYTES, BUCKET_WINDOWS = 4 << 20, 1 << 20
+
+
+def window_digests(contents: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit digests of all n-byte windows, with their content's number and offset."""
+    parts, of, at = [], [], []
+    for k, c in enumerate(contents):
+        size = len(c) - n + 1
+        start = np.arange(size)
+        both = np.zeros(size, _DIGEST)
+        for name, x in (("a", c), ("b", c.translate(_OTHER))):
+            both[name] = span_hash(prefix_hash(np.frombuffer(x, np.uint8)), start, start + n)
+        parts.append(both)
+        of.append(np.full(size, k))
+        at.append(start)
+    return np.concatenate(parts), np.concatenate(of), np.concatenate(at)
+
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                size = len(r[2]) - n + 1
-                own = [hashlib.blake2b(r[2][i : i + n], digest_size=16).digest() for i in range(size)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0]] * size), pa.array([r[1]] * size), pa.array(range(size), pa.int32()), pa.array(own, pa.binary()), pa.array([r[5]] * size)], names=["hash", "piece", "offset", "window", "n"])
+#: A permutation of all bytes, so the digest's halves are independent.
+_OTHER = bytes((167 * i + 13) % 256 for i in range(256))
 
-    rows = pieces.select("hash", "piece", "content", "low", "high", "n").mapInArrow(digests, "hash long, piece long, offset int, window binary, n long")
-    known = rows.groupBy("window").agg(F.sum("n").alias("times")).where("times > 1").select("window")
-    found = rows.select("hash", "piece", "offset", "window").join(known, "window").groupBy("hash", "piece").agg(F.sort_array(F.collect_list("offset")).alias("begins"))
-    return found.select("hash", "piece", "begins", F.col("begins").alias("ends"))
+
+def hot_strings(pieces: DataFrame, n: int) -> DataFrame:
+    """The matches of hot hashes' pieces, however many one hash has.
+
+    Pieces are dealt to shards by content hash. Each shard sends one sorted,
+    distinct list of its windows' digests for each bucket of digests; a bucket
+    finds those of two shards, or twice in one, and sends each shard its own
+    back. So a window in all pieces travels once a shard.
+    """
+    size = pieces.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.octet_length("content") - n + 1), F.lit(0)).alias("windows")).head()
+    shards, buckets = int(size["bytes"]) // SHARD_BYTES + 1, int(size["windows"]) // BUCKET_WINDOWS + 1
+    dealt = pieces.select("hash", "piece", "content", "n", F.pmod(F.xxhash64("hash", "piece"), F.lit(shards)).cast("int").alias("shard"))
+
+    def send(table: pa.Table) -> pa.Table:
+        digest, of, _ = window_digests(table["content"].to_pylist(), n)
+        times = table["n"].to_numpy()[of]
+        own, at = np.unique(digest, return_inverse=True)
+        twice = np.bincount(at, times, len(own)) > 1
+        bucket = (own["a"] % np.uint64(buckets)).astype(np.int64)
+        rows = [(b, table["shard"][0].as_py(), own[bucket == b].tobytes(), twice[bucket == b].tobytes()) for b in np.unique(bucket).tolist()]
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "shard", "digests", "twice"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, _DIGEST) for x in table["digests"].to_pylist()]
+        own, at = np.unique(np.concatenate(lists), return_inverse=True)
+        often = np.bincount(at, 1 + np.concatenate([np.frombuffer(x, bool) for x in table["twice"].to_pylist()]), len(own))
+        known = own[often > 1]
+        back = [x[np.isin(x, known)].tobytes() for x in lists]
+        return pa.table([table["shard"], pa.array(back, pa.binary())], names=["shard", "known"])
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        if left.num_rows and right.num_rows:
+            digest, of, at = window_digests(left["content"].to_pylist(), n)
+            hit = np.isin(digest, np.frombuffer(b"".join(right["known"].to_pylist()), _DIGEST))
+            cut = np.searchsorted(of, np.arange(left.num_rows + 1))
+            for k, (h, p) in enumerate(zip(left["hash"].to_pylist(), left["piece"].to_pylist(), strict=True)):
+                found = at[cut[k] : cut[k + 1]][hit[cut[k] : cut[k + 1]]]
+                if len(found):
+                    rows.append((h, p, *runs(found)))
+        kinds = pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["hash", "piece", "begins", "ends"])
+
+    sent = dealt.groupBy("shard").applyInArrow(send, "bucket long, shard int, digests binary, twice binary")
+    back = sent.groupBy("bucket").applyInArrow(meet, "shard int, known binary")
+    return dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(find, _MATCHES)
 
 
 def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -235,14 +289,14 @@ def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "
 
     Pieces around recurring anchors, equal ones as one, are dealt to shards by
     anchor; each shard's suffix array and permuted common prefixes give its
-    repeated strings. A hash with HOT_PIECES or more different pieces is dealt
-    by its windows' contents instead, summed before the shuffle.
+    repeated strings. A hash with HOT_PIECES or more different pieces meets by
+    its windows' digests instead, summed in each shard before they travel.
 
     Null and empty texts have 0 bytes; texts shorter than `length` lose none.
     Repeated rows are repeats of each other. Null and repeated ids are carried:
     rows are told apart by a number of their own. Extra columns are ignored.
     """
-    u = Units(length, max(1, min(50, length // 8)), False)
+    u = Units(length, max(1, length // 8), False, length - length * 11 // 25)
     rows = unique_rows(docs, id_col, text_col, keep)
     texts = recurring_texts(rows, u, False)
     pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u), "suffix-pieces")
