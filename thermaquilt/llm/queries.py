@@ -99,8 +99,66 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+_WORDS = r"""WITH w AS MATERIALIZED (SELECT doc_id, text, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws FROM documents)"""
+
+
+def _line_rules_sql() -> str:
+    from thermaquilt.llm.line_rules import BOILERPLATE, LineRules
+
+    r = LineRules()
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    marks = "['|', '»', '›', '·', '•', '>', '/', '::']"
+    double = "['!!', '??', '##', '**', '$$', '%%', '&&', '||', '<<', '>>']"
+    phrases = "[" + ", ".join(map(quote, BOILERPLATE)) + "]"
+    return (
+        _WORDS
+        + rf""",
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g FROM w, unnest(range(1, len(ws) - 3)) t(i)),
+rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, range(0, 5) r(k) WHERE n > 1 GROUP BY doc_id),
+ln AS (SELECT doc_id, line, list_filter(string_split_regex(line, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS lw FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)),
+lj AS (SELECT *, len(lw) AS n, len(list_filter(lw, lambda x: list_contains({marks}, x))) AS marks, len(list_filter(lw, lambda x: len(list_filter({double}, lambda d: contains(x, d))) > 0)) AS odd FROM ln WHERE len(lw) > 0),
+lv AS (SELECT *, CASE WHEN marks >= {r.min_menu_marks} AND marks > {r.max_menu_share}*n THEN 'n' WHEN len(list_filter({phrases}, lambda p: contains(lower(line), p))) > 0 THEN 'b'
+  WHEN n < {r.prose_words} AND NOT contains({quote(r.terminal)}, right(rtrim(line), 1)) THEN 'p' WHEN odd > {r.max_odd_words}*n THEN 'p' END AS failed FROM lj),
+la AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, coalesce(sum(n) FILTER (failed = 'p'), 0) AS p, coalesce(sum(n) FILTER (failed = 'n'), 0) AS m, coalesce(sum(n) FILTER (failed = 'b'), 0) AS b FROM lv GROUP BY doc_id),
+a AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars, length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+  coalesce(p, 0) AS p, coalesce(m, 0) AS m, coalesce(b, 0) AS b FROM w LEFT JOIN la USING (doc_id) LEFT JOIN cov USING (doc_id)),
+v AS (SELECT *, n_words < {r.min_words} OR 100*n_repeat_words > {r.max_repeat_percent}*n_words AS base_failed FROM a)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND p + m + b <= {r.max_lost}*n_words AS kept, CAST(p AS BIGINT) AS lost_punctuation, CAST(m AS BIGINT) AS lost_navigation, CAST(b AS BIGINT) AS lost_boilerplate FROM v"""
+    )
+
+
+_MIX = (
+    _WORDS
+    + r""",
+d AS (SELECT w.doc_id, source, len(ws) AS size, ('0x' || substr(md5('20240501:0:' || w.doc_id), 1, 13))::BIGINT AS u0, ('0x' || substr(md5('20240501:1:' || w.doc_id), 1, 13))::BIGINT AS u1 FROM w JOIN documents USING (doc_id)),
+z AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rk FROM d GROUP BY source),
+c AS (SELECT *, [5.0, 2.0, 1.0][(rk - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE*source_size AS cap, 1.5::DOUBLE*sum(source_size) OVER () AS total FROM z),
+l AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap/weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))/sum(weight) OVER (ORDER BY cap/weight, rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c),
+t AS (SELECT source, source_size, coalesce(least(cap, (SELECT min_by(level, (cap/weight, rk)) FROM l WHERE level*weight < cap)*weight), cap) AS target FROM l),
+f AS (SELECT *, CASE WHEN source_size > 0 THEN least(2, floor(target/source_size + 1e-12)) ELSE 0 END AS full_passes FROM t),
+g AS (SELECT *, CASE WHEN full_passes < 2 THEN target - full_passes*source_size ELSE 0 END AS rest FROM f),
+e AS (SELECT d.*, full_passes, rest, source_size, target, CASE WHEN full_passes = 0 THEN u0 ELSE u1 END AS u FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+s AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM e),
+m AS (SELECT source, min((abs(run - rest), u)) AS best, any_value(rest) AS rest FROM s WHERE rest > 0 GROUP BY source),
+k AS (SELECT source, CASE WHEN rest <= best[1] THEN -1 ELSE best[2] END AS last FROM m)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size*(full_passes + CASE WHEN u <= coalesce(last, -1) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM s LEFT JOIN k ON s.source IS NOT DISTINCT FROM k.source"""
+)
+
+
 def llm_oracle_sql() -> dict[str, str]:
     return {
+        "op2_source_mix": _MIX,
+        "op4_line_rules": _line_rules_sql(),
+        "op7_phrase_automata": _WORDS + r""",
+win AS MATERIALIZED (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM w, unnest(range(1, len(ws) - 11)) t(i)),
+f AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN f USING (g), range(0, 13) r(k) WHERE least < doc_id),
+one AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) t(p)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM one ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""",
         "op8_reply_trees": r"""
 WITH t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
