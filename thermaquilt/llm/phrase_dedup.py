@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from thermaquilt.llm.common import stage_table, text_chunks
 from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, different_pieces, recurring_texts, unique_rows
@@ -60,13 +61,82 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=["hash", "piece", "offsets", "lows"])
 
 
+_DIGEST = np.dtype([("a", "<u8"), ("b", "<u8")])
+#: Content of a shard of hot pieces, and windows of a bucket of digests: both bound what a task holds.
+SHARD_BYTES, BUCKET_WINDOWS = 4 << 20, 1 << 20
+
+
+def window_digests(contents: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit digests of all windows of n words, with their content's number and offset."""
+    out, of, at = [], [], []
+    for k, c in enumerate(contents):
+        words = c.split(b" ")
+        for i in range(len(words) - n + 1):
+            out.append(xxh3_128_digest(b" ".join(words[i : i + n])))
+            of.append(k)
+            at.append(i)
+    return np.frombuffer(b"".join(out), _DIGEST), np.array(of, np.int64), np.array(at, np.int64)
+
+
 def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
-    """The matches of hot hashes' pieces: their windows are dealt by content and summed before the shuffle, then joined back."""
-    cut = F.expr(f"transform(sequence(0, size(words) - {n}), i -> struct(i as offset, array_join(slice(words, i + 1, {n}), ' ') as window))")
-    rows = pieces.select("hash", "piece", "low", "high", F.split(F.col("content").cast("string"), " ").alias("words")).select("hash", "piece", "low", "high", F.explode(cut).alias("w")).select("hash", "piece", "low", "high", "w.offset", "w.window")
-    known = rows.groupBy("window").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("window", "least")
-    found = rows.select("hash", "piece", "offset", "window").join(known, "window")
-    return found.groupBy("hash", "piece").agg(F.collect_list(F.struct("offset", "least")).alias("m")).select("hash", "piece", F.col("m.offset").alias("offsets"), F.col("m.least").alias("lows"))
+    """The matches of hot hashes' pieces, however many one hash has.
+
+    Pieces are dealt to shards by content hash. Each shard sends its distinct
+    windows' digests with the least and largest id, one list for each bucket of
+    digests; a bucket finds those of two documents and sends each shard its own
+    back. So a window in all pieces travels once a shard.
+    """
+    size = pieces.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes")).head()["bytes"]
+    shards, buckets = int(size) // SHARD_BYTES + 1, int(size) // (16 * BUCKET_WINDOWS) + 1
+    dealt = pieces.select("hash", "piece", "content", "low", "high", F.pmod(F.xxhash64("hash", "piece"), F.lit(shards)).cast("int").alias("shard"))
+
+    def least_and_most(at: np.ndarray, low: np.ndarray, high: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        lows, highs = np.full(size, np.iinfo(np.int64).max), np.full(size, np.iinfo(np.int64).min)
+        np.minimum.at(lows, at, low)
+        np.maximum.at(highs, at, high)
+        return lows, highs
+
+    def send(table: pa.Table) -> pa.Table:
+        digest, of, _ = window_digests(table["content"].to_pylist(), n)
+        own, at = np.unique(digest, return_inverse=True)
+        lows, highs = least_and_most(at, table["low"].to_numpy()[of], table["high"].to_numpy()[of], len(own))
+        bucket = (own["a"] % np.uint64(buckets)).astype(np.int64)
+        rows = [(b, table["shard"][0].as_py(), *(x[bucket == b].tobytes() for x in (own, lows, highs))) for b in np.unique(bucket).tolist()]
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "shard", "digests", "lows", "highs"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, _DIGEST) for x in table["digests"].to_pylist()]
+        own, at = np.unique(np.concatenate(lists), return_inverse=True)
+        both = (np.concatenate([np.frombuffer(x, np.int64) for x in table[c].to_pylist()]) for c in ("lows", "highs"))
+        lows, highs = least_and_most(at, *both, len(own))
+        known, back = lows < highs, []
+        for x in lists:
+            place = np.searchsorted(own, x)
+            ok = known[place]
+            back.append((x[ok].tobytes(), lows[place[ok]].tobytes()))
+        return pa.table([table["shard"], *(pa.array([b[i] for b in back], pa.binary()) for i in (0, 1))], names=["shard", "known", "lows"])
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        if left.num_rows and right.num_rows:
+            known = np.frombuffer(b"".join(right["known"].to_pylist()), _DIGEST)
+            lows = np.frombuffer(b"".join(right["lows"].to_pylist()), np.int64)
+            by = np.argsort(known)
+            known, lows = known[by], lows[by]
+            digest, of, at = window_digests(left["content"].to_pylist(), n)
+            place = np.minimum(np.searchsorted(known, digest), max(len(known) - 1, 0))
+            hit = known[place] == digest if len(known) else np.zeros(len(digest), bool)
+            cut = np.searchsorted(of, np.arange(left.num_rows + 1))
+            for k, (h, p) in enumerate(zip(left["hash"].to_pylist(), left["piece"].to_pylist(), strict=True)):
+                own = slice(cut[k], cut[k + 1])
+                if hit[own].any():
+                    rows.append((h, p, at[own][hit[own]].tolist(), lows[place[own][hit[own]]].tolist()))
+        kinds = pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())
+        return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["hash", "piece", "offsets", "lows"])
+
+    sent = dealt.groupBy("shard").applyInArrow(send, "bucket long, shard int, digests binary, lows binary, highs binary")
+    back = sent.groupBy("bucket").applyInArrow(meet, "shard int, known binary, lows binary")
+    return dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(find, _MATCHES)
 
 
 def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,11 +150,12 @@ def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str =
     Rows with the same id are not smaller than each other; null ids come after
     all others. No rows give no rows. Extra columns are ignored.
     """
-    u = Units(window, min(5, window), True, window)
+    u = Units(window, min(8, window), True, window)
     rows = unique_rows(docs, id_col, text_col)
     texts = recurring_texts(rows, u, True)
-    pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u), "phrase-pieces")
-    different = stage_table(different_pieces(pieces), "phrase-different")
+    cut_from = texts.select("id", "row", "text", "hashes")
+    pieces = stage_table(cut_pieces(cut_from, u, content=False), "phrase-pieces")
+    different = stage_table(different_pieces(cut_pieces(cut_from, u)), "phrase-different")
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")
     last = F.coalesce("id", F.lit((1 << 63) - 1))
