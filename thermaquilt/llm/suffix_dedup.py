@@ -30,16 +30,18 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, letters: int) -
     n = len(t)
     seed_letter = t[seeds]
     cut = np.searchsorted(seed_letter, np.arange(letters + 1))
+    # By suffix: the letter before it, and whether the suffix from there is small (1), large (0) or not there (2).
+    ahead = np.concatenate([t[:1], t[:-1]])
+    kind = np.concatenate([[2], small[:-1]]).astype(np.int8)
     larger: list[list[np.ndarray]] = [[] for _ in range(letters)]
     smaller: list[list[np.ndarray]] = [[] for _ in range(letters)]
 
     def deal(block: np.ndarray, to: list[list[np.ndarray]], want_small: bool) -> None:
-        before = block - 1
-        before = before[before >= 0]
-        before = before[small[before] == want_small]
+        before = block[kind[block] == want_small]
         if not len(before):
             return
-        letter = t[before]
+        letter = ahead[before]
+        before = before - np.int32(1)
         by = np.argsort(letter, kind="stable")
         letter, before = letter[by], before[by]
         head = np.flatnonzero(np.concatenate([[True], letter[1:] != letter[:-1]]))
@@ -47,7 +49,7 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, letters: int) -
             to[int(letter[a])].append(before[a:b])
 
     # The end of the text stands before all: it induces the last suffix.
-    larger[int(t[n - 1])].append(np.array([n - 1]))
+    larger[int(t[n - 1])].append(np.array([n - 1], np.int32))
     for c in range(letters):
         k = 0
         while k < len(larger[c]):
@@ -64,34 +66,37 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, letters: int) -
     return np.concatenate([b for c in range(letters) for b in (*larger[c], *(x[::-1] for x in reversed(smaller[c])))])
 
 
-def _induce_numbers(t: list[int], small: list[bool], seeds: list[int], letters: int) -> list[int]:
-    """_induce for a large alphabet: one scan up for the larger suffixes, one down for the smaller."""
+def _induce_numbers(t: list[int], larger_before: list[int], smaller_before: list[int], size: list[int], seeds: list[int]) -> list[int]:
+    """_induce for a large alphabet: one scan up for the larger suffixes, one down for the smaller.
+
+    *_before: by suffix, the letter before it if the suffix from there is of that
+    type, else -1; also at -1, so that empty places do nothing. size: bucket
+    limits.
+    """
     n = len(t)
-    size = [0] * (letters + 1)
-    for c in t:
-        size[c + 1] += 1
-    for c in range(letters):
-        size[c + 1] += size[c]
     sa = [-1] * n
     tail = size[1:]
     for s in reversed(seeds):
-        tail[t[s]] -= 1
-        sa[tail[t[s]]] = s
+        c = t[s]
+        tail[c] = k = tail[c] - 1
+        sa[k] = s
     head = size[:-1]
     c = t[n - 1]
-    sa[head[c]], head[c] = n - 1, head[c] + 1
+    sa[head[c]] = n - 1
+    head[c] += 1
     for s in sa:
-        if s > 0 and not small[s - 1]:
-            c = t[s - 1]
-            sa[head[c]] = s - 1
-            head[c] += 1
+        c = larger_before[s]
+        if c >= 0:
+            k = head[c]
+            sa[k] = s - 1
+            head[c] = k + 1
     tail = size[1:]
     for i in range(n - 1, -1, -1):
         s = sa[i]
-        if s > 0 and small[s - 1]:
-            c = t[s - 1]
-            tail[c] -= 1
-            sa[tail[c]] = s - 1
+        c = smaller_before[s]
+        if c >= 0:
+            tail[c] = k = tail[c] - 1
+            sa[k] = s - 1
     return sa
 
 
@@ -101,13 +106,16 @@ def suffix_array(t: np.ndarray, letters: int) -> np.ndarray:
     if n < 2:
         return np.arange(n)
     small = suffix_types(t)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     few = letters <= 512
     if few:
         induce = lambda seeds: _induce(t, small, seeds, letters)
     else:
-        numbers, types = t.tolist(), small.tolist()
-        induce = lambda seeds: np.array(_induce_numbers(numbers, types, seeds.tolist(), letters))
+        numbers = t.tolist()
+        before = np.concatenate([[-1], t[:-1], [-1]])
+        is_small = np.concatenate([[False], small[:-1], [False]])
+        tables = np.where(is_small, -1, before).tolist(), np.where(is_small, before, -1).tolist(), np.concatenate([[0], np.cumsum(np.bincount(t, minlength=letters))]).tolist()
+        induce = lambda seeds: np.array(_induce_numbers(numbers, *tables, seeds.tolist()))
     if not len(lms):
         return induce(lms)
     # Leftmost-smaller substrings in order: induced from their first letters alone.
