@@ -21,7 +21,7 @@ class OrderSettings:
 
     shingle: int = 5
     similarity: float = 0.8
-    bands: int = 48
+    bands: int = 64
     rows: int = 2
     group: int = 8
 
@@ -158,10 +158,10 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
 
     Equal texts are one text from the start, so copies cost a group sum. Of the
     different texts, those that share a band of Order MinHash sketches meet. A
-    bucket of any size is never paired in full: first every member meets the
-    bucket's hub, the member that shares most bands with others, which joins
-    large groups around a common original; then, in buckets whose members are
-    still in different classes, members meet the other members of a small salted
+    bucket of any size is never paired in full. Its hub is the member that shares
+    most bands with others, a large group's common original. Every text meets
+    the most shared of its hubs; then, while they are in different classes, its
+    other hubs; then, in buckets whose members are still in different classes, members meet the other members of a small salted
     group, another one in each band. Each meeting is verified on whole texts: the
     shared share of word shingles, and a banded word alignment.
 
@@ -178,13 +178,22 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     members = stage_table(members.join(sizes, "bucket"), "omh-members")
     popular = members.groupBy("id").agg(F.sum("size").alias("popular"))
     members = stage_table(members.join(popular, "id"), "omh-popular")
-    hubs = members.groupBy("bucket").agg(F.max(F.struct("popular", "id")).getField("id").alias("hub"))
-    pairs = stage_table(members.join(hubs, "bucket").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "omh-hub-pairs")
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("popular", "id")).alias("top"))
+    met = members.join(hubs, "bucket").where(F.col("id") != F.col("top.id")).select("id", F.col("top.id").alias("hub"), F.col("top.popular").alias("fame")).distinct()
+    met = stage_table(met, "omh-hubs")
     wanted = members.select("id").distinct()
     texts = rows.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     texts = stage_table(texts, "omh-candidates")
-    links = stage_table(verified(pairs, texts, s), "omh-links")
+    ordered = lambda df: df.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    best = stage_table(ordered(met.groupBy("id").agg(F.max(F.struct("fame", "hub")).getField("hub").alias("hub"))), "omh-best-pairs")
+    links = stage_table(verified(best, texts, s), "omh-best-links")
     label = components(links)
+    of = lambda c: label.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label"))
+    apart = met.join(of("id"), "id", "left").join(of("hub"), "hub", "left").where(F.coalesce("id_label", "id") != F.coalesce("hub_label", "hub"))
+    other = stage_table(ordered(apart).join(best, ["a", "b"], "left_anti"), "omh-hub-pairs")
+    links = stage_table(links.union(verified(other, texts, s)), "omh-links")
+    label = components(links)
+    pairs = best.union(other)
     left = members.join(label, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label"))
     mixed = left.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("bucket", "n")
     salted = left.join(mixed, "bucket").withColumn("salt", F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / s.group)))
