@@ -15,7 +15,7 @@ from thermaquilt.llm.common import stage_table, text_chunks
 #: Bytes of context of the trie's deepest nodes.
 ORDER = 4
 #: Bounds what is broadcast: entries of the trie's deepest level, and words whose counts go to every worker.
-MOST_GRAMS, MOST_WORDS = 1 << 20, 200_000
+MOST_GRAMS, MOST_WORDS = 1 << 19, 100_000
 #: Not a byte of UTF-8: stands before and after each text.
 EDGE = 0xFF
 _FLUSH = 500_000
@@ -233,7 +233,9 @@ def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_
     common = most_frequent(words, "word", most_words)
     frequent = dict(zip(map(bytes, common["word"]), map(int, common["n"]), strict=True)) if len(common) else {}
     rare_from = min(frequent.values(), default=None)
+    del deepest, common
     model = spark.sparkContext.broadcast((trie, frequent))
+    del trie, frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, frequent = model.value
