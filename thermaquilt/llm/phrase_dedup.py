@@ -20,8 +20,7 @@ def locate(rows: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
     """Occurrences in the pieces of the windows that recur, by one automaton for the shard of patterns at hand.
 
     A window is confirmed as recurring if two documents have it; `low` is the
-    least id that does. The automaton's letters are words. A hash with one
-    passage only is that passage everywhere, and needs no search.
+    least id that does. The automaton's letters are words.
     """
     import ahocorasick
 
@@ -153,14 +152,23 @@ def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str =
     u = Units(window, min(8, window), True, window)
     rows = unique_rows(docs, id_col, text_col)
     texts = recurring_texts(rows, u, True)
-    cut_from = texts.select("id", "row", "text", "hashes")
-    pieces = stage_table(cut_pieces(cut_from, u, content=False), "phrase-pieces")
-    different = stage_table(different_pieces(cut_pieces(cut_from, u)), "phrase-different")
+    pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u, content=False), "phrase-pieces")
+    last = F.coalesce("id", F.lit((1 << 63) - 1))
+    anchor = pieces.groupBy("hash").agg(F.min("piece").alias("piece"), F.max("piece").alias("other"), F.min(last).alias("low"), F.max(last).alias("high"))
+    anchor = stage_table(anchor.where("piece <> other OR low < high"), "phrase-anchors")
+    # An anchor with one passage is that passage wherever it stands; those with several are searched.
+    single = anchor.where("piece = other").select("hash", "low")
+    starts = pieces.join(single, "hash").where(F.col("low") < last).select("row", F.sequence(F.col("first"), F.col("first") + F.col("windows") - 1).alias("starts"))
+    starts = stage_table(starts.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "phrase-single")
+    several = anchor.where("piece <> other").select("hash")
+    lists = stage_table(pieces.join(several, "hash").select("row", "hash").groupBy("row").agg(F.collect_set("hash").alias("several")), "phrase-several")
+    chosen = texts.join(lists, "row").select("id", "row", "text", F.col("several").alias("hashes"))
+    different = stage_table(different_pieces(cut_pieces(chosen, u)), "phrase-different")
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")
-    last = F.coalesce("id", F.lit((1 << 63) - 1))
     at = F.transform(F.filter(F.arrays_zip("offsets", "lows"), lambda m: m["lows"] < last), lambda m: m["offsets"] + F.col("first"))
-    starts = pieces.select("hash", "piece", "id", "row", "first").join(matches, ["hash", "piece"]).select("row", at.alias("starts")).where(F.size("starts") > 0).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    found = pieces.select("hash", "piece", "id", "row", "first").join(matches, ["hash", "piece"]).select("row", at.alias("starts")).where(F.size("starts") > 0)
+    starts = starts.unionByName(found).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     hit = stage_table(texts.select("row", "text").join(starts, "row"), "phrase-hit")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

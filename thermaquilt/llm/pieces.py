@@ -127,7 +127,7 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
 
 
 def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
-    """(hash, piece, id, row, first, content) of each piece of recurring anchors; `piece` is a hash of the content, which may be left out."""
+    """(hash, piece, id, row, first, windows, content) of each piece of recurring anchors; `piece` is a hash of the content, which may be left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):
@@ -161,11 +161,11 @@ def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
                     contents.append(raw[k][i : i + n])
             take = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
-                names=["hash", "piece", "id", "row", "first", *(["content"] if content else [])],
+                [pa.array(h), pa.array(np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
+                names=["hash", "piece", "id", "row", "first", "windows", *(["content"] if content else [])],
             )
 
-    return texts.mapInArrow(run, "hash long, piece long, id long, row long, first int" + ", content binary" * content)
+    return texts.mapInArrow(run, "hash long, piece long, id long, row long, first int, windows int" + ", content binary" * content)
 
 
 def different_pieces(pieces: DataFrame) -> DataFrame:
