@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -138,17 +138,8 @@ def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
     return dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(find, _MATCHES)
 
 
-def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, n_words, n_removed, kept_text.
-
-    A word goes if a window of `window` words covers it that also starts in a
-    document with a smaller id. Kept words are joined by one space. Windows are
-    judged on the input.
-
-    Null and empty texts have no words; texts shorter than a window lose none.
-    Rows with the same id are not smaller than each other; null ids come after
-    all others. No rows give no rows. Extra columns are ignored.
-    """
+def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """All rows as (id, row, text), and (row, n_removed, kept_text) of those that lose words."""
     u = Units(window, min(8, window), True, window)
     rows = unique_rows(docs, id_col, text_col)
     texts = recurring_texts(rows, u, True)
@@ -185,18 +176,41 @@ def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str =
                 kept.append(b" ".join(w for w, s in zip(words, stay.tolist(), strict=True) if s).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept)], names=["row", "n_removed", "kept_text"])
 
-    return _with_rest(rows, hit.mapInArrow(cut, "row long, n_removed long, kept_text string"), id_col)
+    return rows, hit.mapInArrow(cut, "row long, n_removed long, kept_text string")
+
+
+def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, n_words, n_removed, kept_text.
 
+    A word goes if a window of `window` words covers it that also starts in a
+    document with a smaller id. Kept words are joined by one space. Windows are
+    judged on the input.
 
-def _with_rest(rows: DataFrame, changed: DataFrame, id_col: str) -> DataFrame:
-    """All rows: the changed ones as they are, the others with their words as they stand."""
-    words = F.array_join(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""), " ")
+    Null and empty texts have no words; texts shorter than a window lose none.
+    Rows with the same id are not smaller than each other; null ids come after
+    all others. No rows give no rows. Extra columns are ignored.
+    """
+    rows, changed = _changed(docs, window, id_col, text_col)
     left = rows.join(changed.withColumnRenamed("row", "r"), F.col("row") == F.col("r"), "left")
-    own = F.coalesce("kept_text", words)
-    return left.select(F.col("id").alias(id_col), F.regexp_count("text", F.lit("[^ \\t\\n\\x0B\\f\\r]+")).cast("long").alias("n_words"), F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), own.alias("kept_text"))
+    return left.select(F.col("id").alias(id_col), _count().alias("n_words"), _none("n_removed").alias("n_removed"), F.coalesce("kept_text", _words()).alias("kept_text"))
+
+
+def _words() -> Column:
+    """The text's words joined by one space."""
+    return F.array_join(F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""), " ")
+
+
+def _count() -> Column:
+    return F.regexp_count("text", F.lit("[^ \\t\\n\\x0B\\f\\r]+")).cast("long")
+
+
+def _none(c: str) -> Column:
+    return F.coalesce(c, F.lit(0)).cast("long")
 
 
 def phrase_digests(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """remove_repeated_phrases with a digest in the kept text's place."""
-    out = remove_repeated_phrases(docs, window=window, id_col=id_col, text_col=text_col)
-    return out.select(id_col, "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    """remove_repeated_phrases with a digest in the kept text's place; digests are taken before the join, so no text is shuffled for it."""
+    rows, changed = _changed(docs, window, id_col, text_col)
+    own = rows.select("id", "row", _count().alias("n_words"), F.sha2(_words(), 256).alias("own_sha256"))
+    new = changed.select(F.col("row").alias("r"), "n_removed", F.sha2("kept_text", 256).alias("new_sha256"))
+    return own.join(new, F.col("row") == F.col("r"), "left").select(F.col("id").alias(id_col), "n_words", _none("n_removed").alias("n_removed"), F.coalesce("new_sha256", "own_sha256").alias("kept_sha256"))
