@@ -135,6 +135,25 @@ def test_scores(spark, copies, odd, none):
     assert ppm.score_texts(none, F.lit(True)).count() == 0
 
 
+def test_scores_use_every_count(spark):
+    """More distinct contexts and bytes than a broadcast trie held (2^19), each of them rare, in many shards and blocks."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(5)
+    rows = [(i, "".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .", k=6000)), "s") for i in range(120)]
+    df = frame(spark, rows).repartition(4)
+    learnt = [t.encode() for i, t, _ in rows if i % 6]
+    keys, n = np.unique(ppm.grams(learnt, ppm.ORDER)[0], return_counts=True)
+    assert len(keys) > 1 << 19
+    whole = ppm.Trie(keys, n.astype(float), ppm.ORDER)
+    got = {x.doc_id: x.score for x in ppm.score_texts(df, F.col("doc_id") % 6 != 0, block_bytes=50_000).collect()}
+    assert len(got) == 120
+    for i, t, _ in rows:
+        assert got[i] == pytest.approx(whole.log10(ppm.grams([t.encode()], ppm.ORDER)[0]).sum(), rel=1e-6)
+
+
 def test_tokens(spark, odd, none):
     from tokenizers import Tokenizer
 

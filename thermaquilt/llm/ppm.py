@@ -7,15 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermaquilt.llm.common import stage_table, text_chunks
+from thermaquilt.llm.common import mix64, stage_table, text_chunks
 
 #: Bytes of context of the trie's deepest nodes.
 ORDER = 4
-#: Bounds what is broadcast: entries of the trie's deepest level, and words whose counts go to every worker.
-MOST_GRAMS, MOST_WORDS = 1 << 19, 100_000
+#: Words whose counts go to every worker.
+MOST_WORDS = 100_000
+#: Shards of the trie at least, and about how many of its deepest entries each holds.
+LEAST_SHARDS, SHARD_GRAMS = 24, 1 << 17
+#: Bytes of text that look up their distinct numbers together.
+BLOCK_BYTES = 4 << 20
 #: Not a byte of UTF-8: stands before and after each text.
 EDGE = 0xFF
 _FLUSH = 500_000
@@ -148,16 +153,19 @@ class Trie:
     distinct, a symbol seen n times has n / (T + D) and the escape D / (T + D).
     After an escape the shorter context leaves out the symbols of the longer
     one. Contexts nest, so what is left depends on the longer context alone and
-    is kept with it.
+    is kept with it. A shard of the trie has all entries whose contexts end in its
+    pairs of bytes; `low`, the pairs of bytes of the whole trie and their counts,
+    then stands for orders 0 and 1, which all shards share.
     """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.order, self.levels = order, []
         parent = None
         for k in range(order + 1):
-            part = keys & np.uint64((1 << (8 * (k + 1))) - 1)
+            all_keys, all_counts = low if low is not None and k < 2 else (keys, counts)
+            part = all_keys & np.uint64((1 << (8 * (k + 1))) - 1)
             own, at = np.unique(part, return_inverse=True)
-            n = np.bincount(at, counts, len(own)) if len(own) else np.zeros(0)
+            n = np.bincount(at, all_counts, len(own)) if len(own) else np.zeros(0)
             contexts, first, of = np.unique(own >> np.uint64(8), return_index=True, return_inverse=True)
             total, kinds = np.bincount(of, n, len(contexts)), np.bincount(of, minlength=len(contexts)).astype(float)
             level = {"grams": Lookup(own), "contexts": Lookup(contexts), "log_n": np.log10(np.maximum(n, 1e-300)), "total": total, "kinds": kinds}
@@ -206,14 +214,99 @@ class Trie:
         return out
 
 
-def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, most_grams: int = MOST_GRAMS, most_words: int = MOST_WORDS) -> DataFrame:
+def in_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """The rows (id, text, learn) with the number of a block of about block_bytes of text, and a number of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = TaskContext.get().partitionId() << 32, 0
+        for batch, texts in text_chunks(batches, "text"):
+            if size >= block_bytes:
+                block, size = block + 1, 0
+            size += sum(map(len, texts))
+            yield batch.append_column("block", pa.array(np.full(len(texts), block)))
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, text string, learn boolean, block long").withColumn("row", F.monotonically_increasing_id())
+
+
+def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each number, by the last two bytes of its context: all orders from 2 up of a context are in one shard."""
+    return (mix64(g >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(shards)).astype(np.int64)
+
+
+def _packed(block: int, shards: int, keys: np.ndarray, counts: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """A row for each shard met: (shard, block, keys, counts) with the arrays' bytes."""
+    if len(keys):
+        shard = shard_of(keys, shards)
+        by = np.argsort(shard, kind="stable")
+        names, first = np.unique(shard[by], return_index=True)
+        parts = np.split(by, first[1:])
+        values = [None if counts is None else counts[p].tobytes() for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.full(len(names), block)), pa.array([keys[p].tobytes() for p in parts], pa.binary()), pa.array(values, pa.binary())], names=["shard", "block", "keys", "counts"])
+
+
+def block_chances(texts: DataFrame, counts: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, keys, logs): for the distinct numbers of each block of (block, text), their log10 chances under the trie of all counts (gram, n).
+
+    Counts and asked numbers are dealt by shard, counts first, so that a task
+    holds one shard of the trie at a time.
+    """
+    pairs = counts.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n")).toPandas()  # at most 65,536 rows
+    low = texts.sparkSession.sparkContext.broadcast((pairs["gram"].to_numpy(np.int64).view(np.uint64), pairs["n"].to_numpy(float)))
+
+    def deal_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > _FLUSH:
+                yield from _packed(-1, shards, *map(np.concatenate, zip(*waiting, strict=True)))
+                waiting, size = [], 0
+        if waiting:
+            yield from _packed(-1, shards, *map(np.concatenate, zip(*waiting, strict=True)))
+
+    def deal_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = -1, []
+        for batch, part in text_chunks(batches, "text"):
+            block = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if own and block[i] != now:
+                    yield from _packed(now, shards, np.unique(np.concatenate(own)))
+                    own = []
+                now = int(block[i])
+                own.append(np.unique(grams(part[i:j], order)[0]))
+        if own:
+            yield from _packed(now, shards, np.unique(np.concatenate(own)))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counted, trie = -1, [], None
+        for batch in batches:
+            for shard, block, keys, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if shard != now:
+                    now, counted, trie = shard, [], None
+                g = np.frombuffer(keys, np.uint64)
+                if block < 0:
+                    counted.append((g, np.frombuffer(n, np.int64)))
+                    continue
+                if trie is None:
+                    own, times = map(np.concatenate, zip(*counted, strict=True)) if counted else (np.zeros(0, np.uint64), np.zeros(0))
+                    trie, counted = Trie(own, times.astype(float), order, low.value), []
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([keys], pa.binary()), pa.array([trie.log10(g).tobytes()], pa.binary())], names=["block", "keys", "logs"])
+
+    packed = "shard long, block long, keys binary, counts binary"
+    both = counts.mapInArrow(deal_counts, packed).union(texts.select("block", "text").mapInArrow(deal_blocks, packed))
+    return both.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(look_up, "block long, keys binary, logs binary")
+
+
+def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, most_words: int = MOST_WORDS, shard_grams: int = SHARD_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of docs: its id, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
 
     `learn` picks the rows that the models learn from; all rows are scored. The
     score is the log10 chance of the text and its end under the trie, pretrained
-    on the counts of all learning texts. The trie keeps at most most_grams of the
-    most frequent deepest entries, which bounds its broadcast; rarer contexts
-    escape to shorter ones, so every text has a score. The base is a unigram
+    on the counts of all learning texts. No count is left out: the trie is a table
+    in shards of about shard_grams of its deepest entries, and a block of about
+    block_bytes of text looks up each of its distinct contexts and bytes once. The base is a unigram
     model over all words: counts of at most most_words frequent words are
     broadcast, the rest are joined by word, so no count is left out.
 
@@ -222,26 +315,45 @@ def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_
     smoothing is left. Extra columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), learn.alias("learn"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    rows = stage_table(in_blocks(rows, block_bytes), "ppm-texts")
     train = rows.where("learn")
     words = stage_table(word_counts(train), "ppm-words")
     trained = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).head()
     n_all, distinct = int(trained["n"]), int(trained["v"])
-    deepest = most_frequent(stage_table(gram_counts(train, order), "ppm-grams"), "gram", most_grams)
-    by = np.argsort(deepest["gram"].to_numpy().view(np.uint64)) if len(deepest) else None
-    trie = Trie(deepest["gram"].to_numpy().view(np.uint64)[by], deepest["n"].to_numpy()[by].astype(float), order) if len(deepest) else Trie(np.zeros(0, np.uint64), np.zeros(0), order)
+    counts = stage_table(gram_counts(train, order), "ppm-grams")
+    shards = max(LEAST_SHARDS, -(-counts.count() // shard_grams))
+    chances = stage_table(block_chances(rows, counts, order, shards), "ppm-chances")
     common = most_frequent(words, "word", most_words)
     frequent = dict(zip(map(bytes, common["word"]), map(int, common["n"]), strict=True)) if len(common) else {}
     rare_from = min(frequent.values(), default=None)
-    del deepest, common
-    model = spark.sparkContext.broadcast((trie, frequent))
-    del trie, frequent
+    del common
+    model = spark.sparkContext.broadcast(frequent)
+    del frequent
+
+    def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], Lookup, np.ndarray]]:
+        now, parts, table, logs = None, [], None, None
+        for whole in batches:
+            block, with_text = whole.column(0).to_numpy(), whole.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(with_text) != 0)) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+                if block[i] != now:
+                    now, parts, table, logs = block[i], [], None, None
+                piece = whole.slice(i, j - i)
+                if not with_text[i]:
+                    parts += zip(piece.column(2).to_pylist(), piece.column(3).to_pylist(), strict=True)
+                    continue
+                if table is None:
+                    keys, logs = (np.concatenate([np.frombuffer(p[k], kind) for p in parts]) for k, kind in enumerate((np.uint64, np.float64)))
+                    table, parts = Lookup(keys), []
+                for batch, texts in text_chunks([piece], "text"):
+                    yield batch, texts, table, logs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, frequent = model.value
-        for batch, texts in text_chunks(batches, "text"):
-            g, starts = grams(texts, trie.order)
-            score = np.add.reduceat(trie.log10(g), starts)
+        frequent = model.value
+        for batch, texts, table, logs in by_block(b for b in batches if b.num_rows):
+            g, starts = grams(texts, order)
+            score = np.add.reduceat(logs[table(g)], starts)
             tokens, known, base, rare, rare_n = [], [], [], [], []
             for t in texts:
                 own = t.lower().split()
@@ -259,13 +371,16 @@ def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_
                 known.append(len(found))
                 base.append(float(np.log10(np.array(found, float) + 0.5).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32()))],
-                names=["id", "n_tokens", "n_known", "base", "score", "n_bytes", "rare", "rare_n"],
+                [batch.column(4), batch.column(5), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32()))],
+                names=["row", "id", "n_tokens", "n_known", "base", "score", "n_bytes", "rare", "rare_n"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n_tokens long, n_known long, base double, score double, n_bytes long, rare array<binary>, rare_n array<int>"
-    scored = stage_table(rows.select("id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "ppm-scored")
+    schema = f"row long, id {kind}, n_tokens long, n_known long, base double, score double, n_bytes long, rare array<binary>, rare_n array<int>"
+    none = lambda **types: [F.lit(None).cast(t).alias(c) for c, t in types.items()]
+    tables = chances.select("block", F.lit(0).alias("with_text"), "keys", "logs", *none(row="long", id=kind, text="string"))
+    both = tables.union(rows.select("block", F.lit(1).alias("with_text"), *none(keys="binary", logs="binary"), "row", "id", "text"))
+    scored = stage_table(both.repartition("block").sortWithinPartitions("block", "with_text").mapInArrow(run, schema), "ppm-scored")
     rest = scored.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.rare_n").cast("long").alias("times"))
     seen = words if rare_from is None else words.where(F.col("n") <= rare_from)
     found = rest.join(seen, "word").groupBy("row").agg(F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("logs"))
