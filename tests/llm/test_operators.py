@@ -94,6 +94,23 @@ def test_large_near_group_is_one_class(spark):
     assert {r.class_id for r in near_dup.near_duplicate_classes(frame(spark, rows)).collect()} == {0}
 
 
+def test_links_in_large_mixed_buckets(spark):
+    """Form letters apart from each other (0.75 in common), some with a near copy (0.815) whose only shared shingles are the form's."""
+    form, rows = prose(11, 150), []
+    for i in range(130):
+        own = [f"w{i}x{k}" for k in range(50)]
+        rows.append((2 * i, " ".join([form, *own]), "s"))
+        if i < 30:
+            rows.append((2 * i + 1, " ".join([form, *(w if k % 4 == 0 else f"v{i}x{k}" for k, w in enumerate(own))]), "s"))
+    df = frame(spark, rows)
+    bands = {r.id: set(r.bands) for r in near_dup.sketch_texts(df.selectExpr("doc_id AS id", "text"), near_dup.OrderSettings()).collect()}
+    pairs = [2 * i for i in range(30) if bands[2 * i] & bands[2 * i + 1]]
+    assert len(pairs) >= 28
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicate_classes(df).collect()}
+    assert all(got[i + 1] == i for i in pairs)
+    assert sum(k != v for k, v in got.items()) <= 30
+
+
 def test_scores(spark, copies, odd, none):
     rows = texts(copies)
     learn = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]

@@ -17,13 +17,13 @@ from thermaquilt.llm.common import concat, gram_hash, mix64, prefix_hash, span_h
 
 @dataclass(frozen=True)
 class OrderSettings:
-    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. group: members of a split bucket that meet each other."""
+    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. rounds: hub rounds at most before the rest of a mixed bucket meets in full."""
 
     shingle: int = 5
     similarity: float = 0.8
     bands: int = 64
     rows: int = 2
-    group: int = 8
+    rounds: int = 3
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -59,7 +59,7 @@ def order_sketch(shingles: np.ndarray, s: OrderSettings) -> np.ndarray:
 
 
 def sketch_texts(rows: DataFrame, s: OrderSettings) -> DataFrame:
-    """(id, text_key, bands) of every row of (id, text); no bands for texts with less words than a shingle."""
+    """(id, text_key, words, bands) of every row of (id, text): the number of words and the band keys; no bands for texts with less words than a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, "text"):
@@ -68,16 +68,16 @@ def sketch_texts(rows: DataFrame, s: OrderSettings) -> DataFrame:
             begin, end = word_spans(buf)
             words = span_hash(prefix_hash(buf), begin, end)
             cut = np.searchsorted(begin, ends)
-            keys, before = [], 0
+            keys, before, sizes = [], 0, np.diff(cut, prepend=0)
             for upto in cut:
                 own = gram_hash(words[before:upto], s.shingle)
                 keys.append(order_sketch(own, s).view(np.int64) if len(own) else np.zeros(0, np.int64))
                 before = upto
             flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32()), pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxh3_128_digest(t) for t in texts], pa.binary()), flat], names=["id", "text_key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxh3_128_digest(t) for t in texts], pa.binary()), pa.array(sizes, pa.int64()), flat], names=["id", "text_key", "words", "bands"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_key binary, bands array<long>")
+    return rows.mapInArrow(run, f"id {kind}, text_key binary, words long, bands array<long>")
 
 
 def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
@@ -158,12 +158,13 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
 
     Equal texts are one text from the start, so copies cost a group sum. Of the
     different texts, those that share a band of Order MinHash sketches meet. A
-    bucket of any size is never paired in full. Its hub is the member that shares
-    most bands with others, a large group's common original. Every text meets
-    the most shared of its hubs; then, while they are in different classes, its
-    other hubs; then, in buckets whose members are still in different classes, members meet the other members of a small salted
-    group, another one in each band. Each meeting is verified on whole texts: the
-    shared share of word shingles, and a banded word alignment.
+    bucket's hub is the member that shares most bands with others, a large
+    group's common original. Every text meets the most shared of its hubs; then, while they are in different classes, its
+    other hubs. In buckets whose members are still in different classes, the next
+    most shared member is the hub of the others, a few times, and then all
+    members that are still in different classes meet, but for those whose numbers
+    of words alone set them apart: no pair that shares a band is left out. Each
+    meeting is verified on whole texts by a banded word alignment.
 
     Null and empty texts are equal texts. Texts shorter than a shingle match
     equal texts only. Rows with the same id share a class. Rows with a null id
@@ -172,13 +173,13 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     s = settings
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = stage_table(sketch_texts(rows.where("id is not null"), s), "omh-sketches")
-    firsts = stage_table(known.groupBy("text_key").agg(F.min("id").alias("first"), F.first("bands").alias("bands")), "omh-texts")
-    members = firsts.select(F.col("first").alias("id"), F.explode("bands").alias("bucket")).distinct()
+    firsts = stage_table(known.groupBy("text_key").agg(F.min("id").alias("first"), F.first("words").alias("words"), F.first("bands").alias("bands")), "omh-texts")
+    members = firsts.select(F.col("first").alias("id"), "words", F.explode("bands").alias("bucket")).distinct()
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stage_table(members.join(sizes, "bucket"), "omh-members")
     popular = members.groupBy("id").agg(F.sum("size").alias("popular"))
     members = stage_table(members.join(popular, "id"), "omh-popular")
-    hubs = members.groupBy("bucket").agg(F.max(F.struct("popular", "id")).alias("top"))
+    hubs = stage_table(members.groupBy("bucket").agg(F.max(F.struct("popular", "id")).alias("top")), "omh-tops")
     met = members.join(hubs, "bucket").where(F.col("id") != F.col("top.id")).select("id", F.col("top.id").alias("hub"), F.col("top.popular").alias("fame")).distinct()
     met = stage_table(met, "omh-hubs")
     wanted = members.select("id").distinct()
@@ -194,15 +195,27 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     links = stage_table(links.union(verified(other, texts, s)), "omh-links")
     label = components(links)
     pairs = best.union(other)
-    left = members.join(label, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label"))
-    mixed = left.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("bucket", "n")
-    salted = left.join(mixed, "bucket").withColumn("salt", F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / s.group)))
-    one, two = salted.alias("x"), salted.alias("y")
-    more = one.join(two, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")))
-    more = more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage_table(verified(stage_table(more, "omh-more-pairs"), texts, s), "omh-more-links")
-    if more.head(1):
-        label = components(links.union(more))
+    hub_of = hubs.select("bucket", F.col("top.id").alias("id"))
+    fits = lambda x, y: F.abs(F.col(f"{x}.words") - F.col(f"{y}.words")) <= (1 - s.similarity) * F.greatest(f"{x}.words", f"{y}.words") + 1e-9
+    for i in range(s.rounds + 1):
+        # Members of buckets with several classes, without those that have been hubs there: these have met all others of other classes.
+        left = members.join(hub_of, ["bucket", "id"], "left_anti").join(label, "id", "left").select("bucket", "id", "words", "popular", F.coalesce("label", "id").alias("label"))
+        mixed = left.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("popular", "id")).getField("id").alias("hub")).where("low <> high").select("bucket", "hub")
+        left = stage_table(left.join(mixed, "bucket"), "omh-left")
+        if not left.head(1):
+            break
+        y = left.where("id = hub") if i < s.rounds else left
+        x, y = left.alias("x"), y.alias("y")
+        apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits("x", "y")
+        if i == s.rounds:
+            apart &= F.col("x.id") < F.col("y.id")
+        more = x.join(y, apart).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+        more = stage_table(more.join(pairs, ["a", "b"], "left_anti"), "omh-more-pairs")
+        pairs, hub_of = pairs.union(more), hub_of.union(left.where("id = hub").select("bucket", "id"))
+        found = stage_table(verified(more, texts, s), "omh-more-links")
+        if found.head(1):
+            links = stage_table(links.union(found), "omh-links")
+            label = components(links)
     of_text = firsts.join(label, firsts["first"] == label["id"], "left").select("text_key", "first", F.coalesce("label", "first").alias("class_id"))
     by_row = known.select("id", "text_key").join(of_text, "text_key")
     out = by_row.select(F.col("id").alias(id_col), "class_id")
