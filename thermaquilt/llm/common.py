@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel handles at once; bounds a worker's memory.
 CHUNK_BYTES = 1 << 20
@@ -20,13 +23,17 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder of spark.checkpoint.dir. Where it is unset, a temporary one in local mode, where driver and executors are one process; on a cluster that is an error."""
     global _own_dir
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if path:
         return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if _own_dir is None:
-        _own_dir = "file://" + tempfile.mkdtemp(prefix="thermaquilt-")
+        folder = tempfile.mkdtemp(prefix="thermaquilt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_dir = "file://" + folder
     return _own_dir
 
 
@@ -38,7 +45,32 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     # Shuffle files of plans that nothing refers to any more go when the driver collects its garbage.
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stage_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stage tables that no table yet to be written reads."""
+    for t in tables:
+        jvm, path = t.sparkSession.sparkContext._jvm, getattr(t, "_stage_path", None)
+        if path:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def most_frequent(counts: DataFrame, key: str, most: int) -> list:
+    """The rows (key, n) of the largest counts, at most `most`: all rows whose count is above a level read off a small histogram."""
+    level = F.floor(F.log2(F.col("n")) * 16).cast("int")
+    total, cut = 0, None
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).toLocalIterator():  # at most 1,024 levels
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["level"]
+    if cut is None:
+        return []
+    return counts.where(level >= cut).select(key, "n").toPandas()
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -12,18 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermaquilt.llm.common import concat, gram_hash, mix64, prefix_hash, span_hash, stage_table, text_chunks, word_spans
+from thermaquilt.llm.common import concat, gram_hash, mix64, most_frequent, prefix_hash, release, span_hash, stage_table, text_chunks, word_spans
+
+#: A bucket with at most so many texts is paired outright; a larger one by rare words. The pairs that must be verified are found either way.
+SMALL_BUCKET = 8
+#: Words whose counts order the words of a text from rare to frequent. Any order gives the same links; this one keeps groups small.
+FREQUENT_WORDS = 20_000
+#: Pairs of one text above which its copies are dealt to several tasks; and rows of a table of such texts that is broadcast.
+HEAVY_PAIRS, BROADCAST_ROWS = 256, 100_000
+#: Edits up to which diagonals are walked one by one, without numpy.
+FEW_EDITS = 100
 
 
 @dataclass(frozen=True)
 class OrderSettings:
-    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. rounds: hub rounds at most before the rest of a mixed bucket meets in full."""
+    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. rounds: meetings with hubs before the rest of the mixed buckets is searched by rare words."""
 
     shingle: int = 5
     similarity: float = 0.8
     bands: int = 64
     rows: int = 2
-    rounds: int = 3
+    rounds: int = 2
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -80,21 +89,14 @@ def sketch_texts(rows: DataFrame, s: OrderSettings) -> DataFrame:
     return rows.mapInArrow(run, f"id {kind}, text_key binary, words long, bands array<long>")
 
 
-def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
-    """Edit distance in words by the furthest reach on each diagonal; only diagonals within `most` are walked. None above it."""
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+def _few_edits(a: list[int], b: list[int], most: int) -> int | None:
+    """banded_distance for short bands: the reach of each diagonal in a dict."""
     na, nb = len(a), len(b)
-    if abs(na - nb) > most:
-        return None
     reach = {}
     for e in range(most + 1):
         new = {}
         for k in range(-e, e + 1):
-            if e == 0:
-                i = 0
-            else:
-                i = max(reach.get(k - 1, -1), reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1)
+            i = 0 if e == 0 else max(reach.get(k - 1, -1), reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1)
             if i < 0 or i > na or i + k > nb or i + k < 0:
                 i = min(i, na, nb - k)
                 if i < 0 or i + k < 0:
@@ -110,6 +112,52 @@ def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
     return None
 
 
+def _many_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """banded_distance for wide bands: all diagonals of a step at once, their common runs by bisection over sums of word codes."""
+    na, nb = len(a), len(b)
+    width = max(na, nb) + 1
+    up = np.full(width, 0x9E3779B97F4A7C15, np.uint64)
+    up[0] = 1
+    up = np.multiply.accumulate(up)
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix64(x.astype(np.uint64) + np.uint64(1)) * up[: len(x)], dtype=np.uint64)]) for x in (a, b)]
+    k = np.arange(-most, most + 1)
+    reach = np.full(2 * most + 3, -2, np.int64)  # one more place at each end
+    for e in range(most + 1):
+        lo, hi = most - e, most + e + 1
+        if e == 0:
+            i = np.zeros(1, np.int64)
+        else:
+            i = np.maximum(np.maximum(reach[lo:hi], reach[lo + 1 : hi + 1] + 1), reach[lo + 2 : hi + 2] + 1)
+        own = k[lo:hi]
+        i = np.minimum(i, np.minimum(na, nb - own))
+        ok = (i >= 0) & (i + own >= 0)
+        x = np.where(ok, i, 0)
+        y = np.where(ok, x + own, 0)
+        low, high = np.zeros(len(x), np.int64), np.minimum(na - x, nb - y)
+        while (low < high).any():
+            mid = (low + high + 1) // 2
+            # Equal runs have equal sums once both are shifted to the same power.
+            left, right = sums[0][x + mid] - sums[0][x], sums[1][y + mid] - sums[1][y]
+            same = left * up[np.maximum(y - x, 0)] == right * up[np.maximum(x - y, 0)]
+            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+        i = np.where(ok, x + low, -2)
+        if abs(nb - na) <= e and i[nb - na + e] >= na:
+            return e
+        reach[lo + 1 : hi + 1] = i
+    return None
+
+
+def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
+    """Edit distance in words by the furthest reach on each diagonal; only diagonals within `most` are walked. None above it."""
+    same = 0
+    while same < min(len(a), len(b)) and a[-1 - same] == b[-1 - same]:
+        same += 1
+    a, b = a[: len(a) - same], b[: len(b) - same]
+    if abs(len(a) - len(b)) > most:
+        return None
+    return _few_edits(a, b, most) if most <= FEW_EDITS else _many_edits(np.array(a, np.int64), np.array(b, np.int64), most)
+
+
 def similar(a: bytes, b: bytes, s: OrderSettings) -> bool:
     """Whether two texts align word by word with at most 1 - similarity of the longer one's words changed, added or left out."""
     code: dict[bytes, int] = {}
@@ -126,9 +174,17 @@ def similar(a: bytes, b: bytes, s: OrderSettings) -> bool:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: OrderSettings) -> DataFrame:
-    """The pairs (a, b) whose texts are similar. texts: (id, text), one row per id."""
-    one, two = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+    """The pairs (a, b) whose texts are similar. texts: (id, text), one row per id.
+
+    b may be one text for a third of all pairs (a hub): above HEAVY_PAIRS its
+    text has a copy for each so many pairs, so no task gets them all.
+    """
+    heavy = stage_table(pairs.groupBy(F.col("b").alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY_PAIRS).select("h", F.ceil(F.col("n") / HEAVY_PAIRS).cast("int").alias("copies")), "omh-heavy")
+    known = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+    dealt = pairs.join(known, F.col("b") == F.col("h"), "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).alias("copy"))
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    two = texts.join(known, F.col("id") == F.col("h"), "left").select(F.col("id").alias("b"), F.col("text").alias("text_b"), F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
+    both = dealt.join(one, "a").join(two, ["b", "copy"]).select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,6 +195,62 @@ def verified(pairs: DataFrame, texts: DataFrame, s: OrderSettings) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def word_tokens(text: bytes) -> np.ndarray:
+    """Hashes of a text's lower-case words, each with the number of its occurrence."""
+    buf, _, _ = concat([text.lower()])
+    words = np.sort(span_hash(prefix_hash(buf), *word_spans(buf)))
+    if not len(words):
+        return words
+    first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+    label = np.arange(len(words)) - np.repeat(first, np.diff(np.append(first, len(words))))
+    return mix64(words + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def rare_words(texts: DataFrame, s: OrderSettings) -> DataFrame:
+    """(id, token): enough of each text's rarest words that two similar texts have one of them in common.
+
+    Texts with n words, the longer one's, and at most e = (1 - similarity) n
+    edits share n - e words, counted as often as they occur. If all words are
+    put in one order, two such texts share one of their first e + 1. The order
+    is by count, as far as the most frequent words are known, so these stand last.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for _, texts in text_chunks(batches, "text"):
+            own, n = np.unique(np.concatenate([word_tokens(t) for t in texts]), return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+            if len(keys) > 1 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
+                keys, counts = keys[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
+
+    counts = stage_table(texts.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "omh-words")
+    frequent = most_frequent(counts, "token", FREQUENT_WORDS)
+    release(counts)
+    known, times = (np.zeros(0, np.uint64), np.zeros(0, np.int64)) if not len(frequent) else (frequent["token"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64))
+    by = np.argsort(known)
+    carried = texts.sparkSession.sparkContext.broadcast((known[by], times[by]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = carried.value
+        for batch, raw in text_chunks(batches, "text"):
+            parts = []
+            for t in raw:
+                own = word_tokens(t)
+                n = np.zeros(len(own), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    n = np.where(known[at] == own, times[at], 0)
+                parts.append(own[np.lexsort((own, n))[: int((1 - s.similarity) * len(own) + 1e-9) + 1]])
+            take = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take)), pa.array(np.concatenate(parts).view(np.int64))], names=["id", "token"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", "text").mapInArrow(run, f"id {kind}, token long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the least id of each class that links (a, b) join. Every round takes the neighbours' least label and then its label's label."""
     both = stage_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
@@ -148,75 +260,95 @@ def components(links: DataFrame) -> DataFrame:
         new = labels.join(near, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = new.select(F.col("id").alias("label"), F.col("label").alias("far"))
         new = stage_table(new.join(jump, "label", "left").select("id", "old", F.least("label", "far").alias("label")), "labels")
-        if not new.where("old <> label").head(1):
-            return new.select("id", "label")
+        release(labels)
         labels = new.select("id", "label")
+        if not new.where("old <> label").head(1):
+            release(both)
+            return labels
+        labels._stage_path = new._stage_path
 
 
 def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSettings(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
     """(id, class_id) of every row: classes of texts that are equal or joined by links of similarity 0.8 or more; class_id is the least id.
 
-    Equal texts are one text from the start, so copies cost a group sum. Of the
-    different texts, those that share a band of Order MinHash sketches meet. A
-    bucket's hub is the member that shares most bands with others, a large
-    group's common original. Every text meets the most shared of its hubs; then, while they are in different classes, its
-    other hubs. In buckets whose members are still in different classes, the next
-    most shared member is the hub of the others, a few times, and then all
-    members that are still in different classes meet, but for those whose numbers
-    of words alone set them apart: no pair that shares a band is left out. Each
-    meeting is verified on whole texts by a banded word alignment.
+    Similarity is 1 less the word edit distance over the longer text's words, as
+    banded alignment measures it on the whole texts. Links are searched among
+    texts that share a band of Order MinHash sketches; those that do are all
+    settled:
+
+    * Equal texts are one text from the start, so copies cost a group sum.
+    * A bucket's hub is the member that shares most bands with others, a large
+      group's common original. Each text meets the most shared of its hubs and is
+      merged with it if they are similar; then, `rounds` times, the most shared
+      hub of another class in its buckets.
+    * In buckets that still hold several classes, members of different classes
+      meet if their numbers of words allow for a link and, in a bucket of more
+      than SMALL_BUCKET members, if they share one of their rarest words: two
+      similar texts always do (see rare_words). So texts that share a common
+      passage but no rare word never meet, and no group is paired in full.
 
     Null and empty texts are equal texts. Texts shorter than a shingle match
-    equal texts only. Rows with the same id share a class. Rows with a null id
+    equal texts only. Very long texts are sketched and aligned whole; alignment
+    takes time with the edits allowed, a fifth of the words. Ties in popularity
+    go to the larger id. Rows with the same id share a class. Rows with a null id
     get a null class. No rows give no rows; extra columns are ignored.
     """
     s = settings
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = stage_table(sketch_texts(rows.where("id is not null"), s), "omh-sketches")
     firsts = stage_table(known.groupBy("text_key").agg(F.min("id").alias("first"), F.first("words").alias("words"), F.first("bands").alias("bands")), "omh-texts")
-    members = firsts.select(F.col("first").alias("id"), "words", F.explode("bands").alias("bucket")).distinct()
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stage_table(members.join(sizes, "bucket"), "omh-members")
-    popular = members.groupBy("id").agg(F.sum("size").alias("popular"))
-    members = stage_table(members.join(popular, "id"), "omh-popular")
-    hubs = stage_table(members.groupBy("bucket").agg(F.max(F.struct("popular", "id")).alias("top")), "omh-tops")
-    met = members.join(hubs, "bucket").where(F.col("id") != F.col("top.id")).select("id", F.col("top.id").alias("hub"), F.col("top.popular").alias("fame")).distinct()
-    met = stage_table(met, "omh-hubs")
-    wanted = members.select("id").distinct()
-    texts = rows.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    texts = stage_table(texts, "omh-candidates")
-    ordered = lambda df: df.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    best = stage_table(ordered(met.groupBy("id").agg(F.max(F.struct("fame", "hub")).getField("hub").alias("hub"))), "omh-best-pairs")
-    links = stage_table(verified(best, texts, s), "omh-best-links")
-    label = components(links)
-    of = lambda c: label.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label"))
-    apart = met.join(of("id"), "id", "left").join(of("hub"), "hub", "left").where(F.coalesce("id_label", "id") != F.coalesce("hub_label", "hub"))
-    other = stage_table(ordered(apart).join(best, ["a", "b"], "left_anti"), "omh-hub-pairs")
-    links = stage_table(links.union(verified(other, texts, s)), "omh-links")
-    label = components(links)
-    pairs = best.union(other)
-    hub_of = hubs.select("bucket", F.col("top.id").alias("id"))
-    fits = lambda x, y: F.abs(F.col(f"{x}.words") - F.col(f"{y}.words")) <= (1 - s.similarity) * F.greatest(f"{x}.words", f"{y}.words") + 1e-9
+    bands = firsts.select(F.col("first").alias("id"), "words", F.explode("bands").alias("bucket")).distinct()
+    sizes = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stage_table(bands.join(sizes, "bucket"), "omh-shared")
+    popular = shared.groupBy("id").agg(F.sum("size").alias("popular"))
+    members = stage_table(shared.join(popular, "id"), "omh-members")
+    release(shared)
+    texts = stage_table(rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-candidates")
+    label = pairs = links = None
     for i in range(s.rounds + 1):
-        # Members of buckets with several classes, without those that have been hubs there: these have met all others of other classes.
-        left = members.join(hub_of, ["bucket", "id"], "left_anti").join(label, "id", "left").select("bucket", "id", "words", "popular", F.coalesce("label", "id").alias("label"))
-        mixed = left.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("popular", "id")).getField("id").alias("hub")).where("low <> high").select("bucket", "hub")
-        left = stage_table(left.join(mixed, "bucket"), "omh-left")
-        if not left.head(1):
+        now = members.withColumn("label", F.col("id")) if label is None else members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        top = F.max(F.struct("popular", "id", "label"))
+        mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), top.alias("top")).where("low <> high")
+        left = now.join(mixed.select("bucket", "top"), "bucket")
+        left = stage_table(left, "omh-mixed")
+        if i == s.rounds or not left.head(1):
             break
-        y = left.where("id = hub") if i < s.rounds else left
-        x, y = left.alias("x"), y.alias("y")
-        apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits("x", "y")
-        if i == s.rounds:
-            apart &= F.col("x.id") < F.col("y.id")
-        more = x.join(y, apart).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        more = stage_table(more.join(pairs, ["a", "b"], "left_anti"), "omh-more-pairs")
-        pairs, hub_of = pairs.union(more), hub_of.union(left.where("id = hub").select("bucket", "id"))
-        found = stage_table(verified(more, texts, s), "omh-more-links")
-        if found.head(1):
-            links = stage_table(links.union(found), "omh-links")
-            label = components(links)
-    of_text = firsts.join(label, firsts["first"] == label["id"], "left").select("text_key", "first", F.coalesce("label", "first").alias("class_id"))
+        meet = left.where(F.col("label") != F.col("top.label")).select(F.col("id").alias("a"), F.col("top.id").alias("b"), F.col("top.popular").alias("fame"))
+        if pairs is not None:
+            meet = meet.join(pairs, ["a", "b"], "left_anti")
+        new = stage_table(meet.groupBy("a").agg(F.max(F.struct("fame", "b")).getField("b").alias("b")), "omh-hub-pairs")
+        release(left)
+        links, label = _merge(links, new, texts, s, label)
+        pairs = new if pairs is None else pairs.union(new)
+    own = F.col("x.bucket") == F.col("y.bucket")
+    apart = (F.col("x.label") != F.col("y.label")) & (F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9) & (F.col("x.id") < F.col("y.id"))
+    small, large = left.where(F.col("size") <= SMALL_BUCKET), left.where(F.col("size") > SMALL_BUCKET)
+    more = small.alias("x").join(small.alias("y"), own & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    if large.head(1):
+        rare = rare_words(texts.join(large.select("id").distinct(), "id", "left_semi"), s)
+        keyed = stage_table(large.select("id", "words", "label", "bucket").join(rare, "id").select("id", "words", "label", F.xxhash64("bucket", "token").alias("bucket")), "omh-rare")
+        often = stage_table(keyed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket"), "omh-rare-shared")
+        keyed = keyed.join(often, "bucket")
+        more = more.union(keyed.alias("x").join(keyed.alias("y"), own & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    more = more.distinct()
+    if pairs is not None:
+        met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        more = more.join(met, ["a", "b"], "left_anti")
+    more = stage_table(more, "omh-rest-pairs")
+    links, label = _merge(links, more, texts, s, label)
+    release(left, members, texts)
+    of_text = firsts.select("text_key", "first") if label is None else firsts.join(label, firsts["first"] == label["id"], "left").select("text_key", F.coalesce("label", "first").alias("first"))
     by_row = known.select("id", "text_key").join(of_text, "text_key")
-    out = by_row.select(F.col("id").alias(id_col), "class_id")
+    out = by_row.select(F.col("id").alias(id_col), F.col("first").alias("class_id"))
     return out.unionByName(docs.where(F.col(id_col).isNull()).select(F.col(id_col), F.lit(None).cast(out.schema["class_id"].dataType).alias("class_id")))
+
+
+def _merge(links: DataFrame | None, pairs: DataFrame, texts: DataFrame, s: OrderSettings, label: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links and labels with those of the pairs that are similar."""
+    if not pairs.head(1):
+        return links, label
+    new = stage_table(verified(pairs, texts, s), "omh-links")
+    if not new.head(1):
+        return links, label
+    links = new if links is None else links.union(new)
+    return links, components(links)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermaquilt.llm.common import mix64, stage_table, text_chunks
+from thermaquilt.llm.common import mix64, most_frequent, stage_table, text_chunks
 
 #: Bytes of context of the trie's deepest nodes.
 ORDER = 4
@@ -100,20 +100,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, key: str, most: int) -> list:
-    """The rows of the largest counts, at most `most`: all rows whose count is above a level read off a small histogram."""
-    level = F.floor(F.log2(F.col("n")) * 16).cast("int")
-    total, cut = 0, None
-    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).toLocalIterator():  # at most 1,024 levels
-        total += r["count"]
-        if total > most:
-            break
-        cut = r["level"]
-    if cut is None:
-        return []
-    return counts.where(level >= cut).select(key, "n").toPandas()
-
-
 class Lookup:
     """A hash table from numbers to places, probed for whole arrays at once."""
 
