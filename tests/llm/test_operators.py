@@ -111,6 +111,52 @@ def test_links_in_large_mixed_buckets(spark):
     assert sum(k != v for k, v in got.items()) <= 30
 
 
+def test_near_duplicates_against_all_pairs(spark):
+    """Texts with a growing share of scattered edits, and families that share a passage: 0.9 or more of all similar pairs share a class, no other class is made."""
+    import random
+
+    r, rows, passage = random.Random(4), [], prose(12, 60)
+    for i in range(60):
+        base = prose(400 + i, r.randrange(40, 160)).split()
+        rows.append((10 * i, " ".join(base), "s"))
+        for k, share in enumerate((0.02, 0.06, 0.1, 0.14)):
+            rows.append((10 * i + k + 1, " ".join(f"z{i}q{k}x{j}" if r.random() < share else w for j, w in enumerate(base)), "s"))
+    rows += [(1000 + i, prose(800 + i, 50) + " " + passage, "s") for i in range(100)]
+    got = {x.doc_id: x.class_id for x in near_dup.near_duplicate_classes(frame(spark, rows)).collect()}
+    s, raw = near_dup.OrderSettings(), [(i, t.encode()) for i, t, _ in rows]
+    links = [(i, j) for a, (i, x) in enumerate(raw) for j, y in raw[a + 1 :] if near_dup.similar(x, y, s)]
+    assert len(links) > 300 and sum(got[i] == got[j] for i, j in links) >= 0.9 * len(links)
+    up = {i: i for i, _ in raw}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in links:
+        up[max(root(i), root(j))] = min(root(i), root(j))
+    assert all(root(i) == root(c) for i, c in got.items())
+
+
+def test_rare_words_meet(spark):
+    """Two texts within the edits allowed always share one of their rarest words."""
+    import random
+
+    r, s, rows = random.Random(8), near_dup.OrderSettings(), []
+    for i in range(80):
+        a = [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(5, 60))]
+        b = list(a)
+        for _ in range(r.randrange(1 + len(a) // 5)):
+            k = r.randrange(len(b))
+            b[k : k + 1] = r.choice([[], ["new"], [b[k], "q"]])
+        rows += [(2 * i, " ".join(a), "s"), (2 * i + 1, " ".join(b), "s")]
+    tokens = defaultdict(set)
+    for x in near_dup.rare_words(frame(spark, rows).selectExpr("doc_id AS id", "text"), s).collect():
+        tokens[x.id].add(x.token)
+    close = [i for i in range(80) if near_dup.similar(rows[2 * i][1].encode(), rows[2 * i + 1][1].encode(), s) and rows[2 * i][1] != rows[2 * i + 1][1]]
+    assert len(close) > 40 and all(tokens[2 * i] & tokens[2 * i + 1] for i in close)
+
+
 def test_scores(spark, copies, odd, none):
     rows = texts(copies)
     learn = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
@@ -279,6 +325,34 @@ def test_toxicity(spark, odd, none):
     assert toxicity.judge_toxicity(none, lab).count() == 0
 
 
+def test_chain_of_three_categories(spark):
+    """Insult and threat are words of their own; abuse is either of them, and rare in the labels, so the chain's earlier probabilities tell it."""
+    rows, labels = [], []
+    for i in range(600):
+        insult, threat = i % 5 == 0, i % 7 == 0
+        rows.append((i, prose(i, 40) + " idiot scum" * insult + " hurt burn" * threat, "s"))
+        labels.append((i, int(insult), int(threat), int(insult or threat)))
+    lab = spark.createDataFrame(labels[:400], "doc_id long, insult int, threat int, abuse int")
+    got = {r.doc_id: r for r in toxicity.judge_toxicity(frame(spark, rows), lab, categories=("insult", "threat", "abuse"), verdict="abuse").collect()}
+    for k, c in ((1, "insult"), (2, "threat"), (3, "abuse")):
+        assert sum((got[i][f"p_{c}"] > 0.5) == bool(labels[i][k]) for i in range(400, 600)) >= 194
+    r = labels[:400]
+    chain = toxicity.fit_chain([(toxicity.features_of(t.encode()), c[1:]) for (_, t, _), c in zip(rows, r, strict=False)], ["insult", "threat", "abuse"])
+    weights = chain["models"][2]["weights"]
+    assert (weights[-3:-1] > 0.5).all()  # abuse leans on both earlier probabilities
+
+
+def test_words_chosen_by_executors_are_those_of_the_fit(spark):
+    rows = frame(spark, [(i, prose(i, 60) + (" idiot scum" if i % 4 == 0 else ""), "s") for i in range(120)])
+    lab = spark.createDataFrame([(i, i % 2, int(i % 4 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    s = toxicity.ChainSettings(max_words=50)
+    table = toxicity.training_table(rows, lab, ["quality", "toxic"], s)
+    whole = [(toxicity.features_of(r.text.encode()), (r.doc_id % 2, int(r.doc_id % 4 == 0))) for r in rows.collect()]
+    small = toxicity.training_rows(table, toxicity.chosen_words(table, ["quality", "toxic"], s), ["quality", "toxic"])
+    for a, b in zip(toxicity.fit_chain(small, ["quality", "toxic"], s)["models"], toxicity.fit_chain(whole, ["quality", "toxic"], s)["models"], strict=True):
+        assert set(a["words"]) == set(b["words"])
+
+
 def test_out_of_fold_probabilities_are_not_fitted_on():
     import numpy as np
 

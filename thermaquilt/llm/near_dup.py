@@ -30,8 +30,8 @@ class OrderSettings:
 
     shingle: int = 5
     similarity: float = 0.8
-    bands: int = 64
-    rows: int = 2
+    bands: int = 40
+    rows: int = 1
     rounds: int = 2
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermaquilt.llm.common import text_chunks
+from thermaquilt.llm.common import release, stage_table, text_chunks
 
 #: Words whose hashes a worker remembers.
 CACHED_WORDS = 500_000
@@ -114,26 +114,67 @@ def fit_chain(labelled: list[tuple[np.ndarray, tuple[int, ...]]], categories: li
     return {"categories": categories, "models": models, "out_of_fold": extra}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], s: ChainSettings, *, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[np.ndarray, tuple[int, ...]]]:
-    """The features of at most max_rows labelled texts, chosen by a hash of the id, the same on every run; rows with a null label are left out."""
-    full = labels.dropna(subset=[id_col, *categories]).groupBy(id_col).agg(*[F.max(c).cast("int").alias(c) for c in categories])
+def training_table(docs: DataFrame, labels: DataFrame, categories: list[str], s: ChainSettings, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, features, c0, c1, ...) of at most max_rows labelled texts, chosen by a hash of the id, the same on every run; rows with a null label are left out."""
+    full = labels.dropna(subset=[id_col, *categories]).groupBy(id_col).agg(*[F.max(c).cast("int").alias(f"label_{i}") for i, c in enumerate(categories)])
     key = F.md5(F.col(id_col).cast("string").cast("binary"))
-    picked = full.orderBy(key, id_col).limit(s.max_rows).select(F.col(id_col).alias("label_id"), *[F.col(c).alias(f"label_{c}") for c in categories])
+    named = [f"label_{i}" for i in range(len(categories))]
+    picked = full.orderBy(key, id_col).limit(s.max_rows).select(F.col(id_col).alias("label_id"), *named)
     # At most max_rows small rows are broadcast.
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("id") == F.col("label_id"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("id", "text", *named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, "text"):
             features = pa.array([features_of(t).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), features, *(batch.column(3 + i) for i in range(len(categories)))], names=["id", "features", *(f"c{i}" for i in range(len(categories)))])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), features, *(batch.column(2 + i) for i in range(len(categories)))], names=["id", "features", *(f"c{i}" for i in range(len(categories)))])
+
+    classes = [f"c{i}" for i in range(len(categories))]
+    kept = rows.mapInArrow(run, "id string, features binary, " + ", ".join(f"{c} int" for c in classes))
+    # Of several texts with one id the least features count.
+    return stage_table(kept.groupBy("id").agg(F.min(F.struct("features", *classes)).alias("r")).select("id", "r.*"), "toxicity-rows")
+
+
+def chosen_words(rows: DataFrame, categories: list[str], s: ChainSettings) -> np.ndarray:
+    """The words of all categories: of each the max_words that tell most by chi-square, counted by the executors. At most max_words a category reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+            of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            words, at = np.unique(np.concatenate([*parts, np.zeros(0, np.int64)]), return_inverse=True)
+            sums = [np.bincount(at, minlength=len(words))] + [np.bincount(at, batch.column(2 + i).to_numpy()[of], len(words)) for i in range(len(categories))]
+            yield pa.RecordBatch.from_arrays([pa.array(words), *(pa.array(x.astype(np.int64)) for x in sums)], names=["word", "seen", *(f"b{i}" for i in range(len(categories)))])
+
+    both = [f"b{i}" for i in range(len(categories))]
+    counts = rows.mapInArrow(count, "word long, seen long, " + ", ".join(f"{b} long" for b in both)).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("seen", *both)])
+    counts = stage_table(counts.where(F.col("seen") >= s.least_documents), "toxicity-words")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"c{i}").alias(f"c{i}") for i in range(len(categories))]).head()
+    chosen = [np.zeros(0, np.int64)]
+    for i, b in enumerate(both):
+        rate = total[f"c{i}"] or 0.0
+        if not 0 < rate < 1:
+            continue
+        expect = F.col("seen") * rate
+        chi = (F.col(b) - expect) ** 2 / F.greatest(expect * (1 - rate) * (1 - F.col("seen") / total["n"]), F.lit(1e-9))
+        best = counts.select("word", chi.alias("chi")).where("chi > 0").orderBy(F.desc("chi"), "word").limit(s.max_words)
+        chosen.append(best.select("word").toPandas()["word"].to_numpy(np.int64))
+    release(counts)
+    return np.unique(np.concatenate(chosen))
+
+
+def training_rows(table: DataFrame, words: np.ndarray, categories: list[str]) -> list[tuple[np.ndarray, tuple[int, ...]]]:
+    """The labelled rows with their features among `words`, in order of id."""
+    carried = table.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.intersect1d(np.frombuffer(x, np.int64), carried.value, assume_unique=True).tobytes() for x in batch.column(1).to_pylist()]
+            yield batch.set_column(1, "features", pa.array(kept, pa.binary()))
 
-    kept = rows.mapInArrow(run, "id string, features binary, " + ", ".join(f"c{i} int" for i in range(len(categories))))
-    out = {}
-    for r in kept.toLocalIterator():
-        new = np.frombuffer(bytes(r["features"]), np.int64), tuple(r[f"c{i}"] for i in range(len(categories)))
-        old = out.get(r["id"])
-        out[r["id"]] = new if old is None or new[0].tobytes() < old[0].tobytes() else old
-    return [out[k] for k in sorted(out)]
+    classes = [f"c{i}" for i in range(len(categories))]
+    rows = [(r["id"], bytes(r["features"]), tuple(r[c] for c in classes)) for r in table.mapInArrow(run, table.schema).toLocalIterator()]
+    carried.destroy()
+    return [(np.frombuffer(f, np.int64), c) for _, f, c in sorted(rows)]
 
 
 def score_chain(docs: DataFrame, chain: dict, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -170,15 +211,22 @@ def score_chain(docs: DataFrame, chain: dict, *, keep: tuple[str, ...] = ("doc_i
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame, *, categories: tuple[str, ...] = ("quality", "toxic"), verdict: str = "toxic", threshold: float = 0.5, keep: tuple[str, ...] = ("doc_id",), settings: ChainSettings = ChainSettings()) -> DataFrame:  # noqa: B008
-    """Every row of docs with the chain's probabilities and the boolean is_toxic.
-
-    The models are fitted on at most settings.max_rows labelled rows, with at
-    most settings.max_words words each, so what is broadcast is bounded; all
-    rows are scored in one pass without a shuffle. Null and empty texts have no
-    words and get the models' bias. Without labels every probability is 0.
-    Repeated rows are scored alike; extra columns of either table are ignored
-    unless named in `keep`.
+    """Every row of docs with the chain's probabilities and the boolean is_toxic. A column of `keep` with one of these names is left out.
+
+    `categories` are columns of labels, any number of them in the chain's order;
+    the given tables label two. The models are fitted on at most
+    settings.max_rows labelled rows, with at most settings.max_words words each,
+    so what is broadcast and what reaches the driver is bounded; all rows are
+    scored in one pass without a shuffle, whole texts however long. Words with
+    equal chi-square are taken in order of their hashes. Null and empty texts
+    have no words and get the models' bias. Without labels every probability is
+    0, as for a category whose labels are all 0. Repeated rows are scored alike;
+    no rows give no rows; extra columns of either table are ignored unless named
+    in `keep`.
     """
-    chain = fit_chain(training_rows(docs, labels, list(categories), settings), list(categories), settings)
-    scored = score_chain(docs, chain, keep=keep)
+    table = training_table(docs, labels, list(categories), settings)
+    chain = fit_chain(training_rows(table, chosen_words(table, list(categories), settings), list(categories)), list(categories), settings)
+    release(table)
+    made = {"is_toxic", *(f"p_{c}" for c in categories)}
+    scored = score_chain(docs, chain, keep=tuple(c for c in keep if c not in made))
     return scored.withColumn("is_toxic", F.col(f"p_{verdict}") >= threshold)
