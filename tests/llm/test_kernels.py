@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from thermaquilt.llm import common as C
 from thermaquilt.llm.decontaminate import greedy_tiles
 from thermaquilt.llm.line_rules import LineRules, judge_line, repeated_words
-from thermaquilt.llm.near_dup import banded_distance
+from thermaquilt.llm.near_dup import _many_edits, banded_distance
 from thermaquilt.llm.pieces import Units, anchors
 from thermaquilt.llm.ppm import Lookup, grams
 from thermaquilt.llm.suffix_dedup import permuted_lcp, repeated_starts, suffix_array
@@ -48,6 +48,7 @@ def test_banded_distance(a, b, most):
             new.append(min(new[j] + 1, d[j + 1] + 1, d[j] + (a[i] != b[j])))
         d = new
     assert banded_distance(a, b, most) == (d[-1] if d[-1] <= most else None)
+    assert _many_edits(np.array(a, np.int64), np.array(b, np.int64), most) == (d[-1] if d[-1] <= most else None)
 
 
 @settings(max_examples=100, deadline=None)
@@ -122,3 +123,31 @@ def test_line_rules():
     assert judge_line("All rights reserved.", r) == "boilerplate"
     assert judge_line("Short heading", r) == "punctuation"
     assert judge_line("THIS!! IS!! LOUD!! TEXT.", r) == "punctuation"
+
+
+def slow_tiles(a, b, least):
+    """Greedy string tiling by trying every pair of places at every length."""
+    free_a, free_b, tiles = [True] * len(a), [True] * len(b), []
+    for n in range(min(len(a), len(b)), least - 1, -1):
+        for i in range(len(a) - n + 1):
+            for j in range(len(b) - n + 1):
+                if a[i : i + n] == b[j : j + n] and all(free_a[i : i + n]) and all(free_b[j : j + n]):
+                    free_a[i : i + n] = free_b[j : j + n] = [False] * n
+                    tiles.append((i, j, n))
+    return tiles
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 3), max_size=25), st.lists(st.integers(0, 3), max_size=25), st.integers(1, 4))
+def test_tiles_against_all_pairs(a, b, least):
+    assert greedy_tiles(a, b, least) == slow_tiles(a, b, least)
+
+
+def test_tiles_of_repeated_tokens_are_fast():
+    import time
+
+    began = time.perf_counter()
+    assert greedy_tiles([1] * 5000, [1] * 5000) == [(0, 0, 5000)]
+    assert sum(n for _, _, n in greedy_tiles([1] * 5000, ([1] * 100 + [0]) * 60)) == 5000
+    assert sum(n for _, _, n in greedy_tiles([1] * 5000, [x for k in range(5, 100) for x in [1] * k + [0]])) >= 4900
+    assert time.perf_counter() - began < 3

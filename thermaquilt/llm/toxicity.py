@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
 from thermaquilt.llm.common import release, stage_table, text_chunks
@@ -206,7 +207,7 @@ def score_chain(docs: DataFrame, chain: dict, *, keep: tuple[str, ...] = ("doc_i
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(extra[:, i]) for i in range(len(names)))], names=[*keep, *names])
 
     rows = docs.select(*[F.col(c) for c in keep], *([] if text_col in keep else [F.col(text_col).alias(scored)]))
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{n} double" for n in names)])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(n, T.DoubleType()) for n in names)])
     return rows.mapInArrow(run, schema)
 
 
