@@ -14,19 +14,21 @@ from xxhash import xxh3_128_digest
 
 from thermaquilt.llm.common import concat, gram_hash, mix64, most_frequent, prefix_hash, release, span_hash, stage_table, text_chunks, word_spans
 
-#: A bucket with at most so many texts is paired outright; a larger one by rare words. The pairs that must be verified are found either way.
+#: A bucket with at most so many texts outside its largest class is paired outright; another by rare words. The pairs that must be verified are found either way.
 SMALL_BUCKET = 8
+#: Members of a chunk that meet in one round, and the share of a bucket that its largest class must have for a round there. Both only settle links sooner.
+CHUNK, GROWING = 32, 0.02
 #: Words whose counts order the words of a text from rare to frequent. Any order gives the same links; this one keeps groups small.
 FREQUENT_WORDS = 20_000
 #: Pairs of one text above which its copies are dealt to several tasks; and rows of a table of such texts that is broadcast.
 HEAVY_PAIRS, BROADCAST_ROWS = 256, 100_000
 #: Edits up to which diagonals are walked one by one, without numpy.
-FEW_EDITS = 100
+FEW_EDITS = 400
 
 
 @dataclass(frozen=True)
 class OrderSettings:
-    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. rounds: meetings with hubs before the rest of the mixed buckets is searched by rare words."""
+    """Each of bands * rows sketches holds the two least occurrence-labelled shingles in text order; a band is `rows` sketches. rounds: meetings before the rest of the mixed buckets is searched by rare words."""
 
     shingle: int = 5
     similarity: float = 0.8
@@ -95,7 +97,8 @@ def _few_edits(a: list[int], b: list[int], most: int) -> int | None:
     reach = {}
     for e in range(most + 1):
         new = {}
-        for k in range(-e, e + 1):
+        # Diagonals from which the end can still be reached in time.
+        for k in range(max(-e, nb - na - most + e), min(e, nb - na + most - e) + 1):
             i = 0 if e == 0 else max(reach.get(k - 1, -1), reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1)
             if i < 0 or i > na or i + k > nb or i + k < 0:
                 i = min(i, na, nb - k)
@@ -167,6 +170,9 @@ def similar(a: bytes, b: bytes, s: OrderSettings) -> bool:
     # Words that the two do not share at all must each be edited.
     if min(len(x), len(y)) < s.shingle or longer - sum((Counter(x) & Counter(y)).values()) > most:
         return x == y
+    # An edit changes at most two pairs of neighbours.
+    if longer - 1 - sum((Counter(zip(x, x[1:], strict=False)) & Counter(zip(y, y[1:], strict=False))).values()) > 2 * most:
+        return False
     start = 0
     while start < min(len(x), len(y)) and x[start] == y[start]:
         start += 1
@@ -278,14 +284,17 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
 
     * Equal texts are one text from the start, so copies cost a group sum.
     * A bucket's hub is the member that shares most bands with others, a large
-      group's common original. Each text meets the most shared of its hubs and is
-      merged with it if they are similar; then, `rounds` times, the most shared
-      hub of another class in its buckets.
+      group's common original. Each text meets the most shared of its hubs.
+    * In buckets where a class grows, members of different classes meet in chunks
+      of CHUNK, each text in its largest such bucket, dealt anew each round: a
+      family whose texts are close to some of the others, but not to one hub,
+      becomes one class in a few rounds, at CHUNK meetings a text.
     * In buckets that still hold several classes, members of different classes
-      meet if their numbers of words allow for a link and, in a bucket of more
-      than SMALL_BUCKET members, if they share one of their rarest words: two
-      similar texts always do (see rare_words). So texts that share a common
-      passage but no rare word never meet, and no group is paired in full.
+      meet if their numbers of words allow for a link: all with the members
+      outside the bucket's largest class if these are SMALL_BUCKET at most,
+      else those that share one of their rarest words, as two similar texts
+      always do (see rare_words). So texts that share a common passage but no
+      rare word never meet, and no group is paired in full.
 
     Null and empty texts are equal texts. Texts shorter than a shingle match
     equal texts only. Very long texts are sketched and aligned whole; alignment
@@ -305,35 +314,42 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     release(shared)
     texts = stage_table(rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-candidates")
     label = pairs = links = None
+    fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
+    apart = (F.col("x.label") != F.col("y.label")) & fits & (F.col("x.id") < F.col("y.id"))
     for i in range(s.rounds + 1):
         now = members.withColumn("label", F.col("id")) if label is None else members.join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        top = F.max(F.struct("popular", "id", "label"))
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), top.alias("top")).where("low <> high")
-        left = now.join(mixed.select("bucket", "top"), "bucket")
-        left = stage_table(left, "omh-mixed")
+        classes = now.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("popular", "id")).alias("hub"))
+        mixed = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "label")).alias("top"), F.max("hub").alias("hub")).where("classes > 1")
+        left = stage_table(now.join(mixed.select("bucket", "top", "hub"), "bucket"), "omh-mixed")
         if i == s.rounds or not left.head(1):
             break
-        meet = left.where(F.col("label") != F.col("top.label")).select(F.col("id").alias("a"), F.col("top.id").alias("b"), F.col("top.popular").alias("fame"))
-        if pairs is not None:
-            meet = meet.join(pairs, ["a", "b"], "left_anti")
-        new = stage_table(meet.groupBy("a").agg(F.max(F.struct("fame", "b")).getField("b").alias("b")), "omh-hub-pairs")
+        if i == 0:
+            meet = left.where(F.col("id") != F.col("hub.id")).groupBy("id").agg(F.max("hub").getField("id").alias("hub")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+        else:
+            growing = left.where((F.col("top.n") > 2) & (F.col("top.n") >= GROWING * F.col("size")))
+            own = growing.groupBy("id", "words", "label").agg(F.max(F.struct("size", "bucket")).getField("bucket").alias("bucket"))
+            own = stage_table(own, "omh-growing")
+            if not own.head(1):
+                break
+            chunks = own.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+            dealt = own.join(chunks, "bucket").select("id", "words", "label", F.xxhash64("bucket", F.pmod(F.xxhash64("id", F.lit(i)), "chunks")).alias("chunk"))
+            meet = dealt.alias("x").join(dealt.alias("y"), (F.col("x.chunk") == F.col("y.chunk")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).join(pairs, ["a", "b"], "left_anti")
+        new = stage_table(meet, "omh-pairs")
         release(left)
         links, label = _merge(links, new, texts, s, label)
         pairs = new if pairs is None else pairs.union(new)
-    own = F.col("x.bucket") == F.col("y.bucket")
-    apart = (F.col("x.label") != F.col("y.label")) & (F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9) & (F.col("x.id") < F.col("y.id"))
-    small, large = left.where(F.col("size") <= SMALL_BUCKET), left.where(F.col("size") > SMALL_BUCKET)
-    more = small.alias("x").join(small.alias("y"), own & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    if large.head(1):
-        rare = rare_words(texts.join(large.select("id").distinct(), "id", "left_semi"), s)
-        keyed = stage_table(large.select("id", "words", "label", "bucket").join(rare, "id").select("id", "words", "label", F.xxhash64("bucket", "token").alias("bucket")), "omh-rare")
+    outside = F.col("size") - F.col("top.n") <= SMALL_BUCKET
+    few, many = left.where(outside), left.where(~outside)
+    rest = few.where(F.col("label") != F.col("top.label"))
+    both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits
+    more = rest.alias("x").join(few.alias("y"), both).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    if many.head(1):
+        rare = rare_words(texts.join(many.select("id").distinct(), "id", "left_semi"), s)
+        keyed = stage_table(many.select("id", "words", "label", "bucket").join(rare, "id").select("id", "words", "label", F.xxhash64("bucket", "token").alias("bucket")), "omh-rare")
         often = stage_table(keyed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket"), "omh-rare-shared")
         keyed = keyed.join(often, "bucket")
-        more = more.union(keyed.alias("x").join(keyed.alias("y"), own & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-    more = more.distinct()
-    if pairs is not None:
-        met = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = more.join(met, ["a", "b"], "left_anti")
+        more = more.union(keyed.alias("x").join(keyed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    more = more.distinct() if pairs is None else more.distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage_table(more, "omh-rest-pairs")
     links, label = _merge(links, more, texts, s, label)
     release(left, members, texts)
