@@ -68,22 +68,26 @@ def cost_by_type(rows: DataFrame, kind: str, seconds: str, rates: DataFrame) ->
     return rows.groupBy(kind).agg((F.sum(seconds) / 3600.0).alias("hours")).join(rates, kind, "left").select(kind, "hours", (F.col("hours") * F.col("rate")).alias("price"))
 
 
-def peaks(samples: DataFrame, stamp: str, counter: str, lo: Column, hi: Column) -> DataFrame:
-    """Extremes, first-to-last change and fastest step of a counter between two times."""
+def peaks(samples: DataFrame, series: str, stamp: str, counter: str, lo: Column, hi: Column) -> DataFrame:
+    """By series: extremes, first-to-last change and fastest step of a counter between two times."""
     s = samples.where(F.col(stamp).between(lo, hi))
-    w = Window.partitionBy(F.lit(0)).orderBy(stamp)
+    w = Window.partitionBy(series).orderBy(stamp)
     step = F.try_divide((F.col(counter) - F.lag(counter).over(w)).cast("double"), (F.col(stamp).cast("double") - F.lag(stamp).over(w).cast("double")))
-    return s.withColumn("_r", step).agg(F.max(counter).alias("peak"), F.min(counter).alias("low"), F.count(F.lit(1)).alias("n"), (F.max_by(counter, stamp) - F.min_by(counter, stamp)).alias("change"), F.max("_r").alias("fastest"))
+    return s.withColumn("_r", step).groupBy(series).agg(F.max(counter).alias("peak"), F.min(counter).alias("low"), F.count(F.lit(1)).alias("n"), (F.max_by(counter, stamp) - F.min_by(counter, stamp)).alias("change"), F.max("_r").alias("fastest"))
 
 
 def settle_uploads(statuses: DataFrame, now: Column, grace: int = K.UPLOAD_GRACE_MINUTES) -> DataFrame:
-    """statuses (tile, at, phase) in their current phase; `uploading` for longer than the grace becomes `upload_lost`."""
-    last = Window.partitionBy("tile").orderBy(F.desc("at"))
-    other = statuses.withColumn("_last", F.first("phase").over(last)).groupBy("tile", "_last").agg(F.max(F.when(F.col("phase") != F.col("_last"), F.col("at"))).alias("_o"), F.collect_list(F.struct("at", "phase")).alias("_h"))
-    since = F.array_min(F.transform(F.filter("_h", lambda h: F.col("_o").isNull() | (h["at"] > F.col("_o"))), lambda h: h["at"]))
-    aged = other.withColumn("since", since)
+    """statuses (tile, at, phase) in their current phase; `uploading` for longer than the grace becomes `upload_lost`.
+
+    `since` is the first time after the last other phase. Two sums by tile, no
+    list of a tile's history.
+    """
+    last = statuses.groupBy("tile").agg(F.max_by("phase", "at").alias("_last"))
+    own = statuses.join(last, "tile")
+    changed = own.groupBy("tile", "_last").agg(F.max(F.when(F.col("phase") != F.col("_last"), F.col("at"))).alias("_o"))
+    since = statuses.join(changed, "tile").where(F.col("_o").isNull() | (F.col("at") > F.col("_o"))).groupBy("tile", "_last").agg(F.min("at").alias("since"))
     minutes = (now.cast("timestamp").cast("double") - F.col("since").cast("timestamp").cast("double")) / 60
-    return aged.select("tile", F.when((F.col("_last") == "uploading") & (minutes > grace), "upload_lost").otherwise(F.col("_last")).alias("state"), "since")
+    return since.select("tile", F.when((F.col("_last") == "uploading") & (minutes > grace), "upload_lost").otherwise(F.col("_last")).alias("state"), "since")
 
 
 def sort_wave(batch: DataFrame, retries: int) -> DataFrame:

@@ -130,6 +130,26 @@ def bilinear(cells: DataFrame, pixels: DataFrame, value: str, factor: int, rows:
     return p.join(cells, ["row", "col"]).groupBy("y", "x", *keys).agg(F.sum(F.col("_w") * F.col(value)).alias(value))
 
 
+def neighbour_weights(weights: DataFrame, rows: int, cols: int) -> DataFrame:
+    """(wrs_path, row, col, around): a cell's own and its eight neighbours' weights, row by row; 0 where the path has no cell, the nearest cell's beyond the grid's edge."""
+    steps = F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    held = lambda c, d, n: F.least(F.greatest(F.col(c) + F.col(d), F.lit(0)), F.lit(n - 1))
+    asked = weights.select("wrs_path", "row", "col", F.explode(steps).alias("s")).withColumn("_r", held("row", "s.dr", rows)).withColumn("_c", held("col", "s.dc", cols))
+    known = weights.select(F.col("wrs_path").alias("_p"), F.col("row").alias("_kr"), F.col("col").alias("_kc"), "weight")
+    both = asked.join(known, (F.col("wrs_path") == F.col("_p")) & (F.col("_r") == F.col("_kr")) & (F.col("_c") == F.col("_kc")), "left")
+    return both.groupBy("wrs_path", "row", "col").agg(F.sort_array(F.collect_list(F.struct("s.dr", "s.dc", F.coalesce("weight", F.lit(0.0)).alias("w"))))["w"].alias("around"))
+
+
+def ramp_at(y: Column, x: Column, row: Column, col: Column, around: Column, factor: tuple[int, int]) -> Column:
+    """The weight at a pixel's centre between the four cell centres around it. row, col: the pixel's own cell, around: neighbour_weights of it."""
+    fy, fx = (y + 0.5) / factor[0] - 0.5, (x + 0.5) / factor[1] - 0.5
+    ty, tx = fy - F.floor(fy), fx - F.floor(fx)
+    # The upper left of the four cells is the own one or the one before it.
+    first = ((F.floor(fy) - row + 1) * 3 + F.floor(fx) - col + 1 + 1).cast("int")
+    at = lambda k: F.element_at(around, first + k)
+    return (1 - ty) * ((1 - tx) * at(0) + tx * at(1)) + ty * ((1 - tx) * at(3) + tx * at(4))
+
+
 def shift_scan(missing: DataFrame, gaps: DataFrame, reach: int) -> DataFrame:
     """(dy, dx, hits, share): for each shift within reach, the share of missing pixels that a gap cell covers."""
     steps = F.sequence(F.lit(-reach), F.lit(reach))
@@ -144,12 +164,15 @@ def ray_crossings(x: Column, y: Column, x0: Column, y0: Column, x1: Column, y1:
     return ((y0 > y) != (y1 > y)) & (x < (x1 - x0) * (y - y0) / F.nullif(y1 - y0, F.lit(0.0)) + x0)
 
 
-def rasterize(pixels: DataFrame, edges: DataFrame) -> DataFrame:
+def rasterize(pixels: DataFrame, edges: DataFrame, step: float = 1.0) -> DataFrame:
     """pixels (y, x, px, py: centres) inside the rings of `edges` (x0, y0, x1, y1), by the pixel-centre rule.
 
-    Edges are laid on the pixel rows that they span, so the join is on the row.
+    Edges are laid on the bands of `step` that they span, about a pixel row
+    high, so pixel rows meet edges by band and pixels their row's edges by row.
     """
-    rows = pixels.groupBy("y").agg(F.first("py").alias("_py"))
-    at = rows.join(edges, (F.least("y0", "y1") <= F.col("_py")) & (F.greatest("y0", "y1") > F.col("_py"))).select(F.col("y").alias("_y"), "x0", "y0", "x1", "y1")
+    band = lambda v: F.floor(v / step)
+    rows = pixels.groupBy("y").agg(F.first("py").alias("_py")).withColumn("_band", band(F.col("_py")))
+    laid = edges.withColumn("_band", F.explode(F.sequence(band(F.least("y0", "y1")), band(F.greatest("y0", "y1")))))
+    at = rows.join(laid, "_band").where((F.least("y0", "y1") <= F.col("_py")) & (F.greatest("y0", "y1") > F.col("_py"))).select(F.col("y").alias("_y"), "x0", "y0", "x1", "y1")
     hit = pixels.join(at, F.col("y") == F.col("_y")).where(ray_crossings(F.col("px"), F.col("py"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
     return hit.groupBy("y", "x").count().where("count % 2 = 1").select("y", "x")

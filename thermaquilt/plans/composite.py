@@ -40,15 +40,20 @@ def swath_weights(valid: DataFrame, *, factor: tuple[int, int], share: float, ro
     return G.blend_weights(G.edge_distances(swaths, segments, "wrs_path", (rows**2 + cols**2) ** 0.5))
 
 
-def feathered_p95(cor: DataFrame, weights: DataFrame, *, factor: tuple[int, int], least: int = K.MIN_PATH_OBSERVATIONS) -> DataFrame:
+def feathered_p95(cor: DataFrame, weights: DataFrame, *, factor: tuple[int, int], shape: tuple[int, int], least: int = K.MIN_PATH_OBSERVATIONS) -> DataFrame:
     """(y, x, p95, fallback): percentile per path where it has enough observations, blended by weight; else the pooled one.
 
-    The pooled percentile is taken only over pixels without a blend.
+    A path takes part where its own swath cell covers the pixel; its weight is
+    then interpolated between the four cell centres around the pixel, so that
+    neighbouring pixels change smoothly. The pooled percentile is taken only over
+    pixels without a blend.
     """
     per_path = cor.groupBy("y", "x", "wrs_path").agg(A.percentile95(F.col("c")).alias("p"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    w = weights.select("wrs_path", "row", "col", "weight")
+    around = G.neighbour_weights(weights.select("wrs_path", "row", "col", "weight"), *shape)
     at = per_path.withColumn("row", F.floor(F.col("y") / factor[0]).cast("int")).withColumn("col", F.floor(F.col("x") / factor[1]).cast("int"))
-    blend = at.join(w, ["wrs_path", "row", "col"]).groupBy("y", "x").agg(F.sum(F.col("weight") * F.col("p")).alias("wp"), F.sum("weight").alias("w")).where("w > 0").select("y", "x", (F.col("wp") / F.col("w")).alias("p95"), F.lit(False).alias("fallback"))
+    # A row for each path and cell of the coarse swath grid, whose size the tile fixes.
+    ramp = at.join(around, ["wrs_path", "row", "col"]).withColumn("weight", G.ramp_at(F.col("y"), F.col("x"), F.col("row"), F.col("col"), F.col("around"), factor))
+    blend = ramp.groupBy("y", "x").agg(F.sum(F.col("weight") * F.col("p")).alias("wp"), F.sum("weight").alias("w")).where("w > 0").select("y", "x", (F.col("wp") / F.col("w")).alias("p95"), F.lit(False).alias("fallback"))
     pooled = cor.join(blend, ["y", "x"], "left_anti").groupBy("y", "x").agg(A.percentile95(F.col("c")).alias("p95")).withColumn("fallback", F.lit(True))
     return blend.unionByName(pooled)
 
@@ -85,4 +90,4 @@ def composite(obs: DataFrame, *, floor: int, factor: tuple[int, int], share: flo
     valid = valid_observations(obs, footprint)
     cor = debias(valid, prep_offsets(valid, floor=floor))
     weights = swath_weights(valid, factor=factor, share=share, rows=shape[0], cols=shape[1])
-    return finalize_pixels(reduce_pixels(cor, feathered_p95(cor, weights, factor=factor, least=least)), keep)
+    return finalize_pixels(reduce_pixels(cor, feathered_p95(cor, weights, factor=factor, shape=shape, least=least)), keep)

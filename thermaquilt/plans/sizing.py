@@ -25,7 +25,7 @@ def raster_shape(bbox: tuple[float, float, float, float], per_degree: int) -> tu
 def check_grid(per_degree: int, prep_factor: int = K.PREP_FACTOR, swath_factor: int = K.SWATH_FACTOR, block: int = K.PREP_BLOCK) -> None:
     """The prep grid must divide the output grid, the swath grid the prep grid, and a block hold whole swath cells."""
     ratio = swath_factor // prep_factor
-    for ok, what in ((per_degree % prep_factor == 0, "prep grid"), (swath_factor % prep_factor == 0, "swath grid"), (ratio and block % ratio == 0, "block")):
+    for ok, what in ((per_degree % prep_factor == 0, "prep grid"), (per_degree % swath_factor == 0 and swath_factor % prep_factor == 0, "swath grid"), (ratio and block % ratio == 0, "block")):
         if not ok:
             raise SetupError(f"the {what} does not divide {per_degree} pixels a degree evenly")
 

@@ -88,7 +88,10 @@ def swath_edge_distance(spark: SparkSession, d: str) -> DataFrame:
 def _feathered_sql(source: str, share: float, least: int) -> str:
     return f"""{_weights_sql(share)},
   pp AS (SELECT y, x, wrs_path, quantile_cont(c, 0.95) AS p, count(*) AS n FROM {source} GROUP BY ALL HAVING count(*) >= {least}),
-  bl AS (SELECT y, x, sum(weight*p)/sum(weight) AS p95 FROM pp JOIN wt ON pp.wrs_path = wt.wrs_path AND row = y//4 AND col = x//5 GROUP BY y, x HAVING sum(weight) > 0),
+  ip AS (SELECT pp.*, (y + 0.5::DOUBLE)/4 - 0.5::DOUBLE AS fy, (x + 0.5::DOUBLE)/5 - 0.5::DOUBLE AS fx FROM pp SEMI JOIN wt ON pp.wrs_path = wt.wrs_path AND row = y//4 AND col = x//5),
+  ic AS (SELECT *, CASE WHEN a = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END * CASE WHEN b = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END AS k, CAST(least(greatest(floor(fy) + a, 0), 1) AS INTEGER) AS cr, CAST(least(greatest(floor(fx) + b, 0), 9) AS INTEGER) AS cc FROM ip, range(0, 2) s(a), range(0, 2) t(b)),
+  ir AS (SELECT y, x, ic.wrs_path, any_value(p) AS p, sum(k*coalesce(weight, 0)) AS r FROM ic LEFT JOIN wt ON ic.wrs_path = wt.wrs_path AND cr = wt.row AND cc = wt.col GROUP BY y, x, ic.wrs_path),
+  bl AS (SELECT y, x, sum(r*p)/sum(r) AS p95 FROM ir GROUP BY y, x HAVING sum(r) > 0),
   po AS (SELECT y, x, quantile_cont(c, 0.95) AS p95 FROM {source} GROUP BY y, x),
   fe AS (SELECT y, x, coalesce(bl.p95, po.p95) AS p95, bl.p95 IS NULL AS fallback FROM po LEFT JOIN bl USING (y, x))"""
 
@@ -96,14 +99,14 @@ def _feathered_sql(source: str, share: float, least: int) -> str:
 @query(f"WITH {OBS_SQL}, {_FOOT}, {_feathered_sql('fv', 0.5, 5)} SELECT y, x, {_ENC} AS dn, fallback FROM fe")
 def p95_feathered(spark: SparkSession, d: str) -> DataFrame:
     v = P.valid_observations(observations(spark, d), footprint())
-    return P.feathered_p95(v, _weights(spark, d), factor=FACTOR).select("y", "x", Q.encode_celsius(F.col("p95")).alias("dn"), "fallback")
+    return P.feathered_p95(v, _weights(spark, d), factor=FACTOR, shape=SHAPE).select("y", "x", Q.encode_celsius(F.col("p95")).alias("dn"), "fallback")
 
 
 @query(f"WITH {OBS_SQL}, {_FOOT}, {_feathered_sql('fv', 0.9, 30)} SELECT y, x, {_ENC} AS dn, fallback FROM fe")
 def p95_feathered_fallback(spark: SparkSession, d: str) -> DataFrame:
     """A higher share and floor, so the pooled fallback is taken."""
     v = P.valid_observations(observations(spark, d), footprint())
-    return P.feathered_p95(v, _weights(spark, d, 0.9), factor=FACTOR, least=30).select("y", "x", Q.encode_celsius(F.col("p95")).alias("dn"), "fallback")
+    return P.feathered_p95(v, _weights(spark, d, 0.9), factor=FACTOR, shape=SHAPE, least=30).select("y", "x", Q.encode_celsius(F.col("p95")).alias("dn"), "fallback")
 
 
 _COR = f"""{_FOOT}, ref AS (SELECT y, x, month, median(c) AS ref FROM fv GROUP BY y, x, month),

@@ -72,10 +72,11 @@ def cost_by_type(spark: SparkSession, d: str) -> DataFrame:
     return E.cost_by_type(table(spark, d, "customer"), "c_mktsegment", "c_acctbal", rates).select("c_mktsegment", F.round("hours", 5).alias("hours"), F.round("price", 5).alias("price"))
 
 
-@query("SELECT max(value) AS peak, min(value) AS low, count(*) AS n FROM events WHERE user_id = 1")
+@query("WITH s AS (SELECT *, (value - lag(value) OVER w)/nullif((epoch_us(ts) - epoch_us(lag(ts) OVER w))/1000000.0::DOUBLE, 0) AS r FROM (SELECT user_id, ts, max(value) AS value FROM events GROUP BY 1, 2) WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT user_id, max(value) AS peak, min(value) AS low, count(*) AS n, round(max_by(value, ts) - min_by(value, ts), 4) AS change, round(max(r), 4) AS fastest FROM s GROUP BY user_id")
 def peak_between(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d).where("user_id = 1").withColumn("t", F.col("ts").cast("timestamp"))
-    return E.peaks(e, "t", "value", F.lit("1900-01-01").cast("timestamp"), F.lit("2200-01-01").cast("timestamp")).select("peak", "low", "n")
+    e = _events(spark, d).groupBy("user_id", F.col("ts").cast("timestamp").alias("t")).agg(F.max("value").alias("value"))
+    p = E.peaks(e, "user_id", "t", "value", F.lit("1900-01-01").cast("timestamp"), F.lit("2200-01-01").cast("timestamp"))
+    return p.select("user_id", "peak", "low", "n", F.round("change", 4).alias("change"), F.round("fastest", 4).alias("fastest"))
 
 
 @query("WITH b AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'done' WHEN 1 THEN 'died' ELSE 'stalled' END AS status, c_custkey % 5 AS attempts FROM customer) SELECT *, CASE WHEN status = 'done' THEN 'settled' WHEN attempts < 3 THEN 'requeue' ELSE 'given_up' END AS fate FROM b")

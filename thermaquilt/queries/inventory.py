@@ -93,11 +93,11 @@ def month_boundary_guard(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", I.near_month_boundary(F.col("o_orderdate")).alias("ambiguous"))
 
 
-@query("""SELECT DISTINCT l_orderkey AS item_id, b AS band, 's3://b/' || l_orderkey || '/' || b AS href FROM lineitem, (VALUES ('lwir11'), ('qa_pixel')) t(b) WHERE l_orderkey % 40 = 0 AND NOT (b = 'lwir11' AND l_orderkey % 80 = 0)""")
+@query("""SELECT DISTINCT l_orderkey AS item_id, b AS band, 's3://b/' || l_orderkey || '/' || b AS href FROM lineitem, (VALUES ('lwir11'), ('qa_pixel')) t(b) WHERE NOT (b = 'lwir11' AND l_orderkey % 80 = 0)""")
 def staging_manifest(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("l_orderkey")
     href = lambda b: F.concat(F.lit("s3://b/"), k.cast("string"), F.lit(f"/{b}"))
-    items = table(spark, d, "lineitem").where(k % 40 == 0).select(k.alias("item_id"), F.when(k % 80 != 0, href("lwir11")).alias("thermal_href"), href("qa_pixel").alias("qa_href"))
+    items = table(spark, d, "lineitem").select(k.alias("item_id"), F.when(k % 80 != 0, href("lwir11")).alias("thermal_href"), href("qa_pixel").alias("qa_href"))
     return I.staging_manifest(items)
 
 

@@ -22,12 +22,12 @@ def interval_join_bands(spark: SparkSession, d: str) -> DataFrame:
     return J.interval_join(parts, bands, "a", "b", "lo", "hi", step=25.0).select("p_partkey", "s_suppkey")
 
 
-_SCENES = """sc AS (SELECT l_orderkey*10 + l_linenumber AS scene_id, min(l_shipdate) AS ts, min(l_partkey) % 60 AS sx0, min(l_partkey) % 60 + 5 + min(l_suppkey) % 13 AS sx1, min(l_suppkey) % 40 AS sy0, min(l_suppkey) % 40 + 4 + min(l_partkey) % 9 AS sy1 FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY 1),
+_SCENES = """sc AS (SELECT l_orderkey*10 + l_linenumber AS scene_id, min(l_shipdate) AS ts, min(l_partkey) % 60 AS sx0, min(l_partkey) % 60 + 5 + min(l_suppkey) % 13 AS sx1, min(l_suppkey) % 40 AS sy0, min(l_suppkey) % 40 + 4 + min(l_partkey) % 9 AS sy1 FROM lineitem GROUP BY 1),
   bk AS (SELECT CAST(r AS INTEGER) AS brow, CAST(c AS INTEGER) AS bcol, c*16 AS x0, least(c*16 + 16, 80) AS x1, r*16 AS y0, least(r*16 + 16, 56) AS y1 FROM range(0, 4) a(r), range(0, 5) b(c))"""
 
 
 def _scenes(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").where("l_orderkey % 50 = 0").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("scene_id")).agg(F.min("l_shipdate").alias("ts"), F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    li = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("scene_id")).agg(F.min("l_shipdate").alias("ts"), F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
     p, s = F.col("p"), F.col("s")
     return li.select("scene_id", F.col("scene_id").alias("ord"), "ts", (p % 60).cast("int").alias("sx0"), (p % 60 + 5 + s % 13).cast("int").alias("sx1"), (s % 40).cast("int").alias("sy0"), (s % 40 + 4 + p % 9).cast("int").alias("sy1"))
 
@@ -51,8 +51,8 @@ def box_join_cells(spark: SparkSession, d: str) -> DataFrame:
     return J.box_join(_scenes(spark, d), q, ["sx0", "sy0", "sx1", "sy1"], ["a0", "b0", "a1", "b1"], step=8.0).select("scene_id", "s_suppkey")
 
 
-_FOOT = """fp AS (SELECT o_orderkey, CAST((o_orderkey*37) % 3600 AS DOUBLE)/10 - 180 AS lon, CAST((o_custkey*53) % 1160 AS DOUBLE)/10 - 58 AS lat FROM orders WHERE o_orderkey % 7 = 0),
-  fq AS (SELECT o_orderkey, lon AS x0, lat + 1.8 AS y0, lon + 1.9 AS x1, lat + 1.5 AS y1, lon + 1.5 AS x2, lat AS y2, lon - 0.4 AS x3, lat + 0.3 AS y3 FROM fp WHERE lon BETWEEN -179 AND 177)"""
+_FOOT = """fp AS (SELECT o_orderkey, CAST((o_orderkey*37) % 3600 AS DOUBLE)/10 - 180 AS lon, CAST((o_custkey*53) % 1160 AS DOUBLE)/10 - 58 AS lat FROM orders),
+  fq AS (SELECT o_orderkey, lon AS x0, lat + 1.8 AS y0, lon + 1.9 AS x1, lat + 1.5 AS y1, lon + 1.5 AS x2, lat AS y2, lon - 0.4 AS x3, lat + 0.3 AS y3 FROM fp)"""
 
 
 def _axis_sql() -> str:
@@ -66,27 +66,27 @@ def _axis_sql() -> str:
     return " AND ".join(parts)
 
 
-@query(f"""WITH {_FOOT}, tl AS (SELECT CAST(60 - 5*i AS DOUBLE) AS n, CAST(-180 + 5*j AS DOUBLE) AS w FROM range(0, 24) a(i), range(0, 72) b(j))
-  SELECT o_orderkey, (CASE WHEN n >= 0 THEN 'N' ELSE 'S' END) || lpad(abs(n)::INTEGER::VARCHAR, 2, '0') || (CASE WHEN w >= 0 THEN 'E' ELSE 'W' END) || lpad(abs(w)::INTEGER::VARCHAR, 3, '0') AS tile_id
+@query(f"""WITH {_FOOT}, tl AS (SELECT CAST(60 - 5*i AS DOUBLE) AS n, CAST(-180 + 5*j AS DOUBLE) AS w FROM range(0, 24) a(i), range(0, 73) b(j))
+  SELECT o_orderkey, (CASE WHEN n >= 0 THEN 'N' ELSE 'S' END) || lpad(abs(n)::INTEGER::VARCHAR, 2, '0') || (CASE WHEN w >= 0 AND w < 180 THEN 'E' ELSE 'W' END) || lpad((CASE WHEN w >= 180 THEN 360 - w ELSE abs(w) END)::INTEGER::VARCHAR, 3, '0') AS tile_id
   FROM fq JOIN tl ON least(x0,x1,x2,x3) <= w + 5 AND greatest(x0,x1,x2,x3) >= w AND least(y0,y1,y2,y3) <= n AND greatest(y0,y1,y2,y3) >= n - 5 AND {_axis_sql()}""")
 def tile_footprint_join(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where("o_orderkey % 7 = 0")
+    o = table(spark, d, "orders")
     lon = ((F.col("o_orderkey") * 37) % 3600).cast("double") / 10 - 180
     lat = ((F.col("o_custkey") * 53) % 1160).cast("double") / 10 - 58
-    o = o.select("o_orderkey", lon.alias("lon"), lat.alias("lat")).where("lon BETWEEN -179 AND 177")
+    o = o.select("o_orderkey", lon.alias("lon"), lat.alias("lat"))
     ring = ((0.0, 1.8), (1.9, 1.5), (1.5, 0.0), (-0.4, 0.3))
     s = o.select("o_orderkey", F.lit(False).alias("crosses_antimeridian"), *[(F.col("lon") + dx).alias(f"corner_lon{i}") for i, (dx, _) in enumerate(ring)], *[(F.col("lat") + dy).alias(f"corner_lat{i}") for i, (_, dy) in enumerate(ring)])
     return J.assign_tiles(s, G.iter_grid(spark)).select("o_orderkey", "tile_id")
 
 
-_CLASS = "tl AS (SELECT n_nationkey, count(o_orderkey) AS scenes, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS thermal FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey % 11 = 0 AND n_nationkey % 5 <> 0 LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 97 = 0 GROUP BY 1)"
+_CLASS = "tl AS (SELECT n_nationkey, count(o_orderkey) AS scenes, count(CASE WHEN o_orderstatus = 'F' AND n_nationkey % 7 <> 3 THEN 1 END) AS thermal FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)"
 
 
 @query(f"WITH {_CLASS} SELECT n_nationkey AS tile_id, scenes, thermal, CASE WHEN scenes = 0 THEN 'no_scenes' WHEN thermal = 0 THEN 'no_thermal' ELSE 'runnable' END AS class FROM tl")
 def tile_classify_three_way(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where("o_orderkey % 97 = 0")
-    c = table(spark, d, "customer").where("c_custkey % 11 = 0 AND c_nationkey % 5 <> 0")
-    counts = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("tile_id")).agg(F.count(F.lit(1)).alias("scenes"), F.count_if(F.col("o_orderstatus") == "F").alias("thermal"))
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").where("c_nationkey % 5 <> 0")
+    counts = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").alias("tile_id")).agg(F.count(F.lit(1)).alias("scenes"), F.count_if((F.col("o_orderstatus") == "F") & (F.col("c_nationkey") % 7 != 3)).alias("thermal"))
     return E.classify_tiles(table(spark, d, "nation").select(F.col("n_nationkey").alias("tile_id")), counts)
 
 
@@ -120,9 +120,9 @@ def time_join_guarded(spark: SparkSession, d: str) -> DataFrame:
     return J.align_to_time(e, values, "ts_day", "v").select("event_id", "ts_day", "v")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN coalesce(m.x, o_totalprice) ELSE o_totalprice END AS o_totalprice, o_orderkey % 10 = 0 AND m.x IS NULL AS unresolved FROM orders LEFT JOIN (SELECT l_orderkey, CAST(max(l_linenumber) AS DOUBLE) AS x FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1) m ON l_orderkey = o_orderkey")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN coalesce(m.x, o_totalprice) ELSE o_totalprice END AS o_totalprice, o_orderkey % 10 = 0 AND m.x IS NULL AS unresolved FROM orders LEFT JOIN (SELECT l_orderkey, CAST(max(l_linenumber) AS DOUBLE) AS x FROM lineitem WHERE l_linenumber >= 4 GROUP BY 1) m ON l_orderkey = o_orderkey")
 def lookup_coalesce(spark: SparkSession, d: str) -> DataFrame:
-    exact = table(spark, d, "lineitem").where("l_orderkey % 20 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_linenumber").cast("double").alias("o_totalprice"))
+    exact = table(spark, d, "lineitem").where("l_linenumber >= 4").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_linenumber").cast("double").alias("o_totalprice"))
     return J.resolve_exact(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), exact, "o_orderkey", "o_totalprice", F.col("o_orderkey") % 10 == 0)
 
 
