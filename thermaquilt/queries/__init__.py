@@ -24,5 +24,5 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-for _name in ("observation", "composite", "joins", "grids", "inventory", "fleet", "text"):
+for _name in ("observation", "composite", "joins", "grids", "inventory", "fleet", "text", "areas", "accounts"):
     importlib.import_module(f"thermaquilt.queries.{_name}")
