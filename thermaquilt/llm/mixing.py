@@ -145,6 +145,9 @@ def draw_mix(docs: DataFrame, *, source_col: str = "source", id_col: str = "doc_
     source with a third of all rows is summed before the shuffle as any other.
     Only rows of the one finer block that a target cuts are put in order.
 
+    The splitting tree decides what is drawn: a source's blocks are its quota,
+    dealt exactly to the shards, and a shard takes the rows of its run of blocks.
+
     Null sources are a source of their own, last in order. Rows with the same id
     share their place and go together. Null and empty texts have size 0 and go
     with their block. No rows give no rows. Extra columns are kept; columns
@@ -191,8 +194,10 @@ def draw_mix(docs: DataFrame, *, source_col: str = "source", id_col: str = "doc_
     plan = stage_table(goal.join(tree, "rank").select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), "full", "upto", "ends"), "mix-plan")
 
     rows = join_plan(docs.withColumn("mix_size", word_count(F.col(text_col))).withColumn("mix_places", places), plan.select("mix_source", "mix_source_size", "mix_target", F.struct("full", "upto", "ends").alias("mix_plan")), source_col, F.element_at(places, 1))
-    taken = F.filter(F.transform("mix_places", lambda p, e: F.struct(e.alias("epoch"), p.alias("place"))), lambda t: (t["epoch"] < F.col("mix_plan.full")) | ((t["epoch"] == F.col("mix_plan.full")) & (t["place"] <= F.col("mix_plan.upto"))))
-    shard = lambda t: F.size(F.filter(F.col("mix_plan.ends"), lambda e: e <= t["epoch"] * BLOCKS + F.floor(t["place"] / step)))
+    # What a shard draws is what the tree has dealt to it: blocks beyond the last shard's run go nowhere. Only the last block is taken in part.
+    number = lambda t: t["epoch"] * BLOCKS + F.floor(t["place"] / step)
+    taken = F.filter(F.transform("mix_places", lambda p, e: F.struct(e.alias("epoch"), p.alias("place"))), lambda t: (number(t) < F.element_at("mix_plan.ends", -1)) & ~((t["epoch"] == F.col("mix_plan.full")) & (t["place"] > F.col("mix_plan.upto"))))
+    shard = lambda t: F.size(F.filter(F.col("mix_plan.ends"), lambda e: e <= number(t)))
     local = lambda t: F.pmod(F.xxhash64(F.lit(seed), t["place"], t["epoch"]), F.lit(1 << 52))
     draws = F.transform(taken, lambda t: F.struct(t["epoch"].alias("epoch"), shard(t).alias("shard"), local(t).alias("place")))
     return rows.withColumn("mix_draws", draws).drop("mix_places", "mix_plan", "mix_source")
