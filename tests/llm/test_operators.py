@@ -305,6 +305,63 @@ def test_reply_trees(spark):
     assert chat_trees.format_paths(m.limit(0)).count() == 0
 
 
+def test_reply_trees_against_walking_up(spark):
+    """Random forests with long chains, null and repeated ids, rings, orphans, odd columns: the best paths are those found by walking up."""
+    import random
+
+    r, rows = random.Random(3), []
+    for tree in ("a", "b", None):
+        for i in range(1, 120):
+            rows.append((tree, i, None if i == 1 else r.choice([i - 1, i - 1, i - 1, r.randrange(1, i)]), r.choice([0.0, 0.5, None, 1.0]), r.choice(["user", "assistant", None]), r.choice([None, f"<|turn|>{i}", "x" * i])))
+    rows += [("c", 1, 2, 9.0, "user", "ring"), ("c", 2, 1, 9.0, "user", "ring"), ("c", 3, 77, 1.0, "user", "orphan"), ("c", None, 3, 1.0, "user", "no id")]
+    rows += [("d", 1, None, 0.0, "user", "twice"), ("d", 1, None, 0.0, "user", "twice"), ("d", 2, 1, 0.0, "assistant", "L" * 200_000)]
+    m = spark.createDataFrame([(*x, "z", 5) for x in rows], "tree string, id long, parent long, score double, role string, text string, leaf string, place long")
+    out = chat_trees.format_paths(m, branches=3, null_tree=True)
+    got = {(x.tree, x.branch): (x.leaf, [tuple(y) for y in x.b]) for x in out.select("tree", "branch", "leaf", chat_trees.read_back(F.col("formatted")).alias("b")).collect()}
+    want = {}
+    for tree in {x[0] for x in rows}:
+        own = {x[1]: x for x in rows if x[0] == tree and x[1] is not None}
+        paths = []
+        for i in own:
+            if i in {x[2] for x in own.values()}:
+                continue
+            path, at = [], i
+            while at in own and at not in path:
+                path.append(at)
+                at = own[at][2]
+            paths.append((-sum(own[k][3] or 0.0 for k in path), i, path[::-1]))
+        for b, (_, leaf, path) in enumerate(sorted(paths)[:3], 1):
+            want[tree, b] = (leaf, [(own[k][4] or "", own[k][5] or "") for k in path])
+    assert got == want
+
+
+def test_mix_draws_what_the_tree_deals(spark, monkeypatch):
+    """Shards hold disjoint runs of blocks, as many as the tree deals; with fewer blocks dealt, fewer rows are drawn."""
+    rows = frame(spark, [(i, prose(i, 5 + i % 7), f"s{i % 3}") for i in range(600)])
+    step = mixing._SPAN // mixing.BLOCKS
+    places = {r.doc_id: (r.a, r.b) for r in rows.select("doc_id", *[mixing.unit(20240501, e, F.col("doc_id")).alias(n) for e, n in ((0, "a"), (1, "b"))]).collect()}
+    tree = mixing.splitting_tree
+    kept = []
+
+    def spied(quotas, levels, seed):
+        kept.append((quotas.collect(), out := tree(quotas, levels, seed)))
+        return out
+
+    monkeypatch.setattr(mixing, "splitting_tree", spied)
+    drawn = mixing.draw_mix(rows).collect()
+    quotas, ends = {r["rank"]: r.quota for r in kept[0][0]}, {r["rank"]: r.ends for r in kept[0][1].collect()}
+    rank = {s: i + 1 for i, s in enumerate(sorted({r.source for r in drawn}))}
+    for r in drawn:
+        for d in r.mix_draws:
+            block = d.epoch * mixing.BLOCKS + places[r.doc_id][d.epoch] // step
+            own = ends[rank[r.source]]
+            assert block < own[d.shard] and (d.shard == 0 or own[d.shard - 1] <= block)
+    assert all(len(e) == 16 and e[-1] == quotas[k] and e == sorted(e) for k, e in ends.items())
+    taken = sum(len(r.mix_draws) for r in drawn)
+    monkeypatch.setattr(mixing, "splitting_tree", lambda q, levels, seed: tree(q.withColumn("quota", F.floor(F.col("quota") / 2)), levels, seed))
+    assert 0.3 * taken < sum(len(r.mix_draws) for r in mixing.draw_mix(rows).collect()) < 0.7 * taken
+
+
 @pytest.mark.parametrize("text", ["</s>[INST] ok [/INST]", "<|turn|>", "<\\|end|>\\", "<\\\\|a<|", "<<SYS>>x<</SYS>>", "[\\INST]", "<s><<s>>", "\\", "漢<|body|>字"])
 def test_escape_round_trip(spark, text):
     r = spark.createDataFrame([(text,)], "t string").select(chat_trees.escape(F.col("t")).alias("e"), chat_trees.unescape(chat_trees.escape(F.col("t"))).alias("u")).head()
