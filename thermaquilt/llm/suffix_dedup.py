@@ -228,15 +228,16 @@ def window_digests(contents: list[bytes], n: int) -> tuple[np.ndarray, np.ndarra
         size = len(c) - n + 1
         start = np.arange(size)
         both = np.zeros(size, _DIGEST)
-        for name, x in (("a", c), ("b", c.translate(_OTHER))):
-            both[name] = span_hash(prefix_hash(np.frombuffer(x, np.uint8)), start, start + n)
+        both["a"] = span_hash(prefix_hash(np.frombuffer(c, np.uint8)), start, start + n)
+        # Read backwards with other letters, so its powers and letters differ from the first half's.
+        both["b"] = span_hash(prefix_hash(np.frombuffer(c[::-1].translate(_OTHER), np.uint8)), start, start + n)[::-1]
         parts.append(both)
         of.append(np.full(size, k))
         at.append(start)
     return np.concatenate(parts), np.concatenate(of), np.concatenate(at)
 
 
-#: A permutation of all bytes, so the digest's halves are independent.
+#: A permutation of all bytes for the digest's second half.
 _OTHER = bytes((167 * i + 13) % 256 for i in range(256))
 
 
