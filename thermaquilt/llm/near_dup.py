@@ -345,10 +345,13 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     more = rest.alias("x").join(few.alias("y"), both).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     if many.head(1):
         rare = rare_words(texts.join(many.select("id").distinct(), "id", "left_semi"), s)
-        keyed = stage_table(many.select("id", "words", "label", "bucket").join(rare, "id").select("id", "words", "label", F.xxhash64("bucket", "token").alias("bucket")), "omh-rare")
-        often = stage_table(keyed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket"), "omh-rare-shared")
-        keyed = keyed.join(often, "bucket")
-        more = more.union(keyed.alias("x").join(keyed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        keyed = stage_table(many.select("id", "words", "label").distinct().join(rare, "id"), "omh-rare")
+        often = stage_table(keyed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token"), "omh-rare-shared")
+        keyed = keyed.join(often, "token")
+        close = keyed.alias("x").join(keyed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+        # Of these, those that share a bucket; a text has `bands` buckets at most.
+        of = lambda c: many.groupBy(F.col("id").alias(c)).agg(F.collect_list("bucket").alias(f"in_{c}"))
+        more = more.union(close.join(of("a"), "a").join(of("b"), "b").where(F.arrays_overlap("in_a", "in_b")).select("a", "b"))
     more = more.distinct() if pairs is None else more.distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage_table(more, "omh-rest-pairs")
     links, label = _merge(links, more, texts, s, label)
