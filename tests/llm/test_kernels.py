@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from thermaquilt.llm import common as C
+from thermaquilt.llm import phrase_dedup
 from thermaquilt.llm.decontaminate import greedy_tiles
 from thermaquilt.llm.line_rules import LineRules, judge_line, repeated_words
 from thermaquilt.llm.near_dup import _many_edits, banded_distance
@@ -151,3 +152,20 @@ def test_tiles_of_repeated_tokens_are_fast():
     assert sum(n for _, _, n in greedy_tiles([1] * 5000, ([1] * 100 + [0]) * 60)) == 5000
     assert sum(n for _, _, n in greedy_tiles([1] * 5000, [x for k in range(5, 100) for x in [1] * k + [0]])) >= 4900
     assert time.perf_counter() - began < 3
+
+
+def test_automaton_locates_confirmed_windows():
+    """Windows of two documents only, with the least id, wherever they stand; a document's own repeats do not count."""
+    r = random.Random(5)
+    docs = [tuple(r.randrange(4) for _ in range(r.randrange(2, 40))) for _ in range(60)]
+    n = 3
+    passages = phrase_dedup.confirm([(w, i, i) for i, w in enumerate(docs)], n)
+    ids = {}
+    for i, w in enumerate(docs):
+        for k in range(len(w) - n + 1):
+            ids.setdefault(w[k : k + n], set()).add(i)
+    assert passages == {w: min(s) for w, s in ids.items() if len(s) > 1}
+    got = {p: list(zip(at, lows, strict=True)) for _, p, at, lows in phrase_dedup.stream(passages, [(0, i, w) for i, w in enumerate(docs)], n)}
+    for i, w in enumerate(docs):
+        assert got.get(i, []) == [(k, passages[w[k : k + n]]) for k in range(len(w) - n + 1) if w[k : k + n] in passages]
+    assert phrase_dedup.stream({}, [(0, 0, docs[0])], n) == []

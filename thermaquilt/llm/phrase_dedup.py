@@ -11,48 +11,45 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from thermaquilt.llm.common import stage_table, text_chunks
-from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, different_pieces, recurring_texts, unique_rows
+from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, unique_rows
 
 _MATCHES = "hash long, piece long, offsets array<int>, lows array<long>"
 
 
-def locate(rows: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences in the pieces of the windows that recur, by one automaton for the shard of patterns at hand.
+def confirm(stretches: list[tuple[tuple[int, ...], int, int]], n: int) -> dict[tuple[int, ...], int]:
+    """The windows of n words that two documents have, with the least id that does. Stretches are (words, least id, largest id)."""
+    seen: dict[tuple[int, ...], list[int]] = {}
+    for words, low, high in stretches:
+        for i in range(len(words) - n + 1):
+            span = seen.setdefault(words[i : i + n], [low, high])
+            span[0], span[1] = min(span[0], low), max(span[1], high)
+    return {w: low for w, (low, high) in seen.items() if low < high}
 
-    A window is confirmed as recurring if two documents have it; `low` is the
-    least id that does. The automaton's letters are words.
-    """
+
+def stream(passages: dict[tuple[int, ...], int], stretches: list[tuple[int, int, tuple[int, ...]]], n: int) -> list[tuple[int, int, list[int], list[int]]]:
+    """(hash, piece, offsets, lows) of every stretch with an occurrence: one automaton of the shard's confirmed passages reads them all. Its letters are words."""
     import ahocorasick
 
-    out: list[tuple[int, int, list[int], list[int]]] = []
+    if not passages:
+        return []
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for words, low in passages.items():
+        automaton.add_word(words, low)
+    automaton.make_automaton()
+    out = []
+    for key, piece, words in stretches:
+        hits = list(automaton.iter(words))
+        if hits:
+            out.append((key, piece, [e - n + 1 for e, _ in hits], [low for _, low in hits]))
+    return out
+
+
+def locate(rows: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the recurring windows in a shard's stretches (hash, piece, content, low, high)."""
     code: dict[bytes, int] = {}
-    shard: list[tuple[tuple, tuple[int, ...]]] = []
-    groups: dict[int, int] = {}
-    for r in rows:
-        groups[r[0]] = groups.get(r[0], 0) + 1
-    seen: dict[tuple[int, ...], list[int]] = {}
-    for r in rows:
-        words = r[2].split(b" ")
-        if groups[r[0]] == 1:
-            if r[3] < r[4]:
-                out.append((r[0], r[1], list(range(len(words) - n + 1)), [r[3]] * (len(words) - n + 1)))
-            continue
-        coded = tuple(code.setdefault(w, len(code)) for w in words)
-        shard.append((r, coded))
-        for i in range(len(coded) - n + 1):
-            span = seen.setdefault(coded[i : i + n], [r[3], r[4]])
-            span[0], span[1] = min(span[0], r[3]), max(span[1], r[4])
-    confirmed = [(w, s[0]) for w, s in seen.items() if s[0] < s[1]]
-    if confirmed:
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for w, low in confirmed:
-            automaton.add_word(w, low)
-        automaton.make_automaton()
-        for r, coded in shard:
-            hits = list(automaton.iter(coded))
-            if hits:
-                out.append((r[0], r[1], [e - n + 1 for e, _ in hits], [low for _, low in hits]))
-    yield _batch(out)
+    words = [tuple(code.setdefault(w, len(code)) for w in r[2].split(b" ")) for r in rows]
+    passages = confirm([(w, r[3], r[4]) for w, r in zip(words, rows, strict=True)], n)
+    yield _batch(stream(passages, [(r[0], r[1], w) for w, r in zip(words, rows, strict=True)], n))
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
@@ -62,7 +59,7 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
 
 _DIGEST = np.dtype([("a", "<u8"), ("b", "<u8")])
 #: Content of a shard of hot pieces, and windows of a bucket of digests: both bound what a task holds.
-SHARD_BYTES, BUCKET_WINDOWS = 4 << 20, 1 << 20
+SHARD_BYTES, BUCKET_WINDOWS = 1 << 20, 1 << 20
 
 
 def window_digests(contents: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,8 +79,9 @@ def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
 
     Pieces are dealt to shards by content hash. Each shard sends its distinct
     windows' digests with the least and largest id, one list for each bucket of
-    digests; a bucket finds those of two documents and sends each shard its own
-    back. So a window in all pieces travels once a shard.
+    digests; a bucket confirms those of two documents and sends each shard its
+    own back. So a window in all pieces travels once a shard. The shard compiles
+    its confirmed windows into an automaton, which then locates them.
     """
     size = pieces.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes")).head()["bytes"]
     shards, buckets = int(size) // SHARD_BYTES + 1, int(size) // (16 * BUCKET_WINDOWS) + 1
@@ -122,14 +120,15 @@ def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
             lows = np.frombuffer(b"".join(right["lows"].to_pylist()), np.int64)
             by = np.argsort(known)
             known, lows = known[by], lows[by]
-            digest, of, at = window_digests(left["content"].to_pylist(), n)
-            place = np.minimum(np.searchsorted(known, digest), max(len(known) - 1, 0))
-            hit = known[place] == digest if len(known) else np.zeros(len(digest), bool)
-            cut = np.searchsorted(of, np.arange(left.num_rows + 1))
-            for k, (h, p) in enumerate(zip(left["hash"].to_pylist(), left["piece"].to_pylist(), strict=True)):
-                own = slice(cut[k], cut[k + 1])
-                if hit[own].any():
-                    rows.append((h, p, at[own][hit[own]].tolist(), lows[place[own][hit[own]]].tolist()))
+            contents = left["content"].to_pylist()
+            digest, of, at = window_digests(contents, n)
+            own, first = np.unique(digest, return_index=True)
+            place = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
+            hit = known[place] == own if len(known) else np.zeros(len(own), bool)
+            code: dict[bytes, int] = {}
+            words = [tuple(code.setdefault(w, len(code)) for w in c.split(b" ")) for c in contents]
+            passages = {words[of[i]][at[i] : at[i] + n]: low for i, low in zip(first[hit].tolist(), lows[place[hit]].tolist(), strict=True)}
+            rows = stream(passages, list(zip(left["hash"].to_pylist(), left["piece"].to_pylist(), words, strict=True)), n)
         kinds = pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["hash", "piece", "offsets", "lows"])
 
@@ -145,21 +144,19 @@ def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[
     texts = recurring_texts(rows, u, True)
     pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u, content=False), "phrase-pieces")
     last = F.coalesce("id", F.lit((1 << 63) - 1))
-    anchor = pieces.groupBy("hash").agg(F.min("piece").alias("piece"), F.max("piece").alias("other"), F.min(last).alias("low"), F.max(last).alias("high"))
-    anchor = stage_table(anchor.where("piece <> other OR low < high"), "phrase-anchors")
-    # An anchor with one passage is that passage wherever it stands; those with several are searched.
-    single = anchor.where("piece = other").select("hash", "low")
-    starts = pieces.join(single, "hash").where(F.col("low") < last).select("row", F.sequence(F.col("first"), F.col("first") + F.col("windows") - 1).alias("starts"))
-    starts = stage_table(starts.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "phrase-single")
-    several = anchor.where("piece <> other").select("hash")
-    lists = stage_table(pieces.join(several, "hash").select("row", "hash").groupBy("row").agg(F.collect_set("hash").alias("several")), "phrase-several")
-    chosen = texts.join(lists, "row").select("id", "row", "text", F.col("several").alias("hashes"))
-    different = stage_table(different_pieces(cut_pieces(chosen, u)), "phrase-different")
+    # Equal pieces are one, and one row sends its content.
+    each = pieces.groupBy("hash", "piece").agg(F.min(last).alias("low"), F.max(last).alias("high"), F.min("row").alias("row"))
+    anchor = each.groupBy("hash").agg(F.min("piece").alias("piece"), F.max("piece").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"))
+    each = stage_table(each.join(anchor.where("piece <> other OR low < high").select("hash"), "hash", "left_semi"), "phrase-each")
+    lists = each.groupBy("row").agg(F.collect_set("hash").alias("chosen"))
+    chosen = texts.join(lists, "row").select("id", "row", "text", F.col("chosen").alias("hashes"))
+    contents = cut_pieces(chosen, u).groupBy("hash", "piece").agg(F.min("content").alias("content"))
+    different = stage_table(contents.join(each, ["hash", "piece"]).select("hash", "piece", "content", "low", "high"), "phrase-different")
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")
     at = F.transform(F.filter(F.arrays_zip("offsets", "lows"), lambda m: m["lows"] < last), lambda m: m["offsets"] + F.col("first"))
     found = pieces.select("hash", "piece", "id", "row", "first").join(matches, ["hash", "piece"]).select("row", at.alias("starts")).where(F.size("starts") > 0)
-    starts = starts.unionByName(found).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    starts = found.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     hit = stage_table(texts.select("row", "text").join(starts, "row"), "phrase-hit")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +183,11 @@ def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str =
     document with a smaller id. Kept words are joined by one space. Windows are
     judged on the input.
 
+    Windows with equal anchors meet in one shard, where those of two documents
+    are confirmed and compiled into an automaton. Every stretch of every
+    document around a recurring anchor, equal stretches as one, is streamed past
+    its shard's automaton; other stretches hold no window that recurs.
+
     Null and empty texts have no words; texts shorter than a window lose none.
     Rows with the same id are not smaller than each other; null ids come after
     all others. No rows give no rows. Extra columns are ignored.

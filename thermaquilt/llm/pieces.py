@@ -177,7 +177,7 @@ def different_pieces(pieces: DataFrame) -> DataFrame:
 def by_anchor(different: DataFrame, solve: Callable, schema: str) -> tuple[DataFrame, DataFrame]:
     """solve over groups of all pieces with one anchor hash; and the pieces of hot hashes, which `solve` does not get.
 
-    solve takes lists of rows (hash, piece, content, low, high, n), several whole
+    solve takes lists of rows (hash, piece, content, low, high, ...), several whole
     groups at a time, and returns Arrow batches.
     """
     hot = stage_table(different.groupBy("hash").agg(F.count(F.lit(1)).alias("pieces")).where(F.col("pieces") >= HOT_PIECES).select("hash"), "hot-hashes")
