@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermaquilt.llm.common import stage_table, text_chunks
+from thermaquilt.llm.common import release, stage_table, text_chunks
 from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, unique_rows
 
 _MATCHES = "hash long, piece long, offsets array<int>, lows array<long>"
@@ -152,12 +152,15 @@ def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[
     chosen = texts.join(lists, "row").select("id", "row", "text", F.col("chosen").alias("hashes"))
     contents = cut_pieces(chosen, u).groupBy("hash", "piece").agg(F.min("content").alias("content"))
     different = stage_table(contents.join(each, ["hash", "piece"]).select("hash", "piece", "content", "low", "high"), "phrase-different")
+    release(each)
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")
+    release(different)
     at = F.transform(F.filter(F.arrays_zip("offsets", "lows"), lambda m: m["lows"] < last), lambda m: m["offsets"] + F.col("first"))
     found = pieces.select("hash", "piece", "id", "row", "first").join(matches, ["hash", "piece"]).select("row", at.alias("starts")).where(F.size("starts") > 0)
     starts = found.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     hit = stage_table(texts.select("row", "text").join(starts, "row"), "phrase-hit")
+    release(texts, pieces, matches)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermaquilt.llm.common import concat, gram_hash, prefix_hash, span_hash, stage_table, text_chunks, window_minimum, word_spans
+from thermaquilt.llm.common import concat, gram_hash, prefix_hash, release, span_hash, stage_table, text_chunks, window_minimum, word_spans
 
 #: Hashes with so many different pieces, or more, are hot: their pieces are dealt by content, not by anchor.
 HOT_PIECES = 1000
@@ -123,7 +123,9 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
         known = found.groupBy("hash").agg(F.sum("times").alias("n")).where("n > 1").select("hash")
     known = stage_table(known, "recurring-hashes")
     by_row = stage_table(found.select("hash", "row").join(known, "hash").groupBy("row").agg(F.collect_list("hash").alias("hashes")), "recurring-rows")
-    return stage_table(rows.join(by_row, "row").select("id", "row", "text", "hashes"), "recurring-texts")
+    texts = stage_table(rows.join(by_row, "row").select("id", "row", "text", "hashes"), "recurring-texts")
+    release(known, by_row)
+    return texts
 
 
 def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
