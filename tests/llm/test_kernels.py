@@ -159,13 +159,17 @@ def test_automaton_locates_confirmed_windows():
     r = random.Random(5)
     docs = [tuple(r.randrange(4) for _ in range(r.randrange(2, 40))) for _ in range(60)]
     n = 3
-    passages = phrase_dedup.confirm([(w, i, i) for i, w in enumerate(docs)], n)
+    passages = phrase_dedup.confirm([(0, w, i, i) for i, w in enumerate(docs)], n)
     ids = {}
     for i, w in enumerate(docs):
         for k in range(len(w) - n + 1):
             ids.setdefault(w[k : k + n], set()).add(i)
-    assert passages == {w: min(s) for w, s in ids.items() if len(s) > 1}
+    assert passages == {w: (min(s), 1) for w, s in ids.items() if len(s) > 1}
     got = {p: list(zip(at, lows, strict=True)) for _, p, at, lows in phrase_dedup.stream(passages, [(0, i, w) for i, w in enumerate(docs)], n)}
     for i, w in enumerate(docs):
-        assert got.get(i, []) == [(k, passages[w[k : k + n]]) for k in range(len(w) - n + 1) if w[k : k + n] in passages]
+        assert got.get(i, []) == [(k, passages[w[k : k + n]][0]) for k in range(len(w) - n + 1) if w[k : k + n] in passages]
     assert phrase_dedup.stream({}, [(0, 0, docs[0])], n) == []
+    # The only stretch of an anchor is one passage, if two documents have it.
+    alone = phrase_dedup.confirm([(1, (7, 8, 9, 7, 8), 2, 6), (2, (5, 5, 5), 3, 3)], n)
+    assert alone == {(7, 8, 9, 7, 8): (2, 3)}
+    assert phrase_dedup.stream(alone, [(1, 4, (7, 8, 9, 7, 8)), (2, 5, (5, 5, 5))], n) == [(1, 4, [0, 1, 2], [2, 2, 2])]

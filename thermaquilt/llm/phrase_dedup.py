@@ -13,43 +13,77 @@ from xxhash import xxh3_128_digest
 from thermaquilt.llm.common import release, stage_table, text_chunks
 from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, unique_rows
 
+#: Content of a shard of anchors whose passages make one automaton; a small one stays in the processor's cache.
+AUTOMATON_BYTES = 1 << 16
 _MATCHES = "hash long, piece long, offsets array<int>, lows array<long>"
 
 
-def confirm(stretches: list[tuple[tuple[int, ...], int, int]], n: int) -> dict[tuple[int, ...], int]:
-    """The windows of n words that two documents have, with the least id that does. Stretches are (words, least id, largest id)."""
+def confirm(stretches: list[tuple[int, tuple[int, ...], int, int]], n: int) -> dict[tuple[int, ...], tuple[int, int]]:
+    """The passages that two documents have: by words, the least id that does and the number of windows. Stretches are (hash, words, least id, largest id).
+
+    The only stretch of an anchor recurs whole or not at all, so it is one
+    passage; of several, each window of n words is judged alone.
+    """
+    groups: dict[int, int] = {}
+    for key, *_ in stretches:
+        groups[key] = groups.get(key, 0) + 1
+    whole: dict[tuple[int, ...], tuple[int, int]] = {}
     seen: dict[tuple[int, ...], list[int]] = {}
-    for words, low, high in stretches:
+    for key, words, low, high in stretches:
+        if groups[key] == 1:
+            if low < high:
+                whole[words] = low, len(words) - n + 1
+            continue
         for i in range(len(words) - n + 1):
             span = seen.setdefault(words[i : i + n], [low, high])
-            span[0], span[1] = min(span[0], low), max(span[1], high)
-    return {w: low for w, (low, high) in seen.items() if low < high}
+            if low < span[0]:
+                span[0] = low
+            if high > span[1]:
+                span[1] = high
+    return whole | {w: (low, 1) for w, (low, high) in seen.items() if low < high}
+
+
+def _letters(words: tuple[int, ...]) -> tuple[int, ...]:
+    """Two letters a word, told apart by their range: a node's letters are searched one by one, so no node may have one for each word."""
+    return tuple([x for w in words for x in (256 + (w >> 8), w & 255)])
 
 
-def stream(passages: dict[tuple[int, ...], int], stretches: list[tuple[int, int, tuple[int, ...]]], n: int) -> list[tuple[int, int, list[int], list[int]]]:
-    """(hash, piece, offsets, lows) of every stretch with an occurrence: one automaton of the shard's confirmed passages reads them all. Its letters are words."""
+def stream(passages: dict[tuple[int, ...], tuple[int, int]], stretches: list[tuple[int, int, tuple[int, ...]]], n: int) -> list[tuple[int, int, list[int], list[int]]]:
+    """(hash, piece, offsets, lows) of every stretch with an occurrence: one automaton of the shard's confirmed passages reads them all, word by word."""
     import ahocorasick
 
     if not passages:
         return []
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for words, low in passages.items():
-        automaton.add_word(words, low)
+    for words, value in passages.items():
+        automaton.add_word(_letters(words), value)
     automaton.make_automaton()
     out = []
     for key, piece, words in stretches:
-        hits = list(automaton.iter(words))
-        if hits:
-            out.append((key, piece, [e - n + 1 for e, _ in hits], [low for _, low in hits]))
+        offsets, lows = [], []
+        for end, (low, windows) in automaton.iter(_letters(words)):
+            first = end // 2 - n - windows + 2
+            offsets.extend(range(first, first + windows))
+            lows.extend([low] * windows)
+        if offsets:
+            out.append((key, piece, offsets, lows))
     return out
 
 
 def locate(rows: list[tuple], n: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of the recurring windows in a shard's stretches (hash, piece, content, low, high)."""
-    code: dict[bytes, int] = {}
-    words = [tuple(code.setdefault(w, len(code)) for w in r[2].split(b" ")) for r in rows]
-    passages = confirm([(w, r[3], r[4]) for w, r in zip(words, rows, strict=True)], n)
-    yield _batch(stream(passages, [(r[0], r[1], w) for w, r in zip(words, rows, strict=True)], n))
+    """Occurrences of the recurring passages in stretches (hash, piece, content, low, high), sorted by hash: an automaton for each AUTOMATON_BYTES of whole anchors."""
+    shard: list[tuple] = []
+    size = 0
+    for i, r in enumerate(rows):
+        shard.append(r)
+        size += len(r[2])
+        if i + 1 < len(rows) and (size < AUTOMATON_BYTES or rows[i + 1][0] == r[0]):
+            continue
+        code: dict[bytes, int] = {}
+        words = [tuple([code.setdefault(w, len(code)) for w in s[2].split(b" ")]) for s in shard]
+        passages = confirm([(s[0], w, s[3], s[4]) for w, s in zip(words, shard, strict=True)], n)
+        yield _batch(stream(passages, [(s[0], s[1], w) for w, s in zip(words, shard, strict=True)], n))
+        shard, size = [], 0
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
@@ -127,7 +161,7 @@ def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
             hit = known[place] == own if len(known) else np.zeros(len(own), bool)
             code: dict[bytes, int] = {}
             words = [tuple(code.setdefault(w, len(code)) for w in c.split(b" ")) for c in contents]
-            passages = {words[of[i]][at[i] : at[i] + n]: low for i, low in zip(first[hit].tolist(), lows[place[hit]].tolist(), strict=True)}
+            passages = {words[of[i]][at[i] : at[i] + n]: (low, 1) for i, low in zip(first[hit].tolist(), lows[place[hit]].tolist(), strict=True)}
             rows = stream(passages, list(zip(left["hash"].to_pylist(), left["piece"].to_pylist(), words, strict=True)), n)
         kinds = pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["hash", "piece", "offsets", "lows"])
