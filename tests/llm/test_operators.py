@@ -51,6 +51,7 @@ def expect_bytes(rows, n=400):
 @pytest.mark.parametrize("hot", [2, 1000])
 def test_phrases(copies, hot, monkeypatch):
     monkeypatch.setattr(pieces, "HOT_PIECES", hot)
+    monkeypatch.setattr(pieces, "DEAL_BYTES", 40 * hot)
     got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in phrase_dedup.phrase_digests(copies).collect())
     assert got == expect_phrases(texts(copies))
 
@@ -64,6 +65,7 @@ def test_phrases_odd(odd, none):
 @pytest.mark.parametrize("hot", [2, 1000])
 def test_bytes(copies, hot, monkeypatch):
     monkeypatch.setattr(pieces, "HOT_PIECES", hot)
+    monkeypatch.setattr(pieces, "DEAL_BYTES", 40 * hot)
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeated_bytes(copies).collect())
     assert got == expect_bytes(texts(copies))
 

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermaquilt.llm.common import concat, gram_hash, prefix_hash, release, span_hash, stage_table, text_chunks, window_minimum, word_spans
+from thermaquilt.llm.common import concat, gram_hash, prefix_hash, span_hash, stage_table, text_chunks, window_minimum, word_spans
 
 #: Hashes with so many different pieces, or more, are hot: their pieces are dealt by content, not by anchor.
 HOT_PIECES = 1000
+#: Text of a chunk, about: what a task holds when hashes are counted.
+DEAL_BYTES = 8 << 20
 #: A table of hot hashes is broadcast up to so many rows, else joined by hash.
 BROADCAST_ROWS = 100_000
 
@@ -99,33 +101,67 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
     """(id, row, text, hashes): the rows with anchors that recur, and these anchors' hashes.
 
     other_document: only anchors that occur in two rows or more count.
-    Counts are summed before the shuffle, so a hash in a third of all rows
-    costs each task one row.
+    Texts are dealt to chunks of about DEAL_BYTES. A chunk sends its distinct
+    hashes as one packed list for each bucket of hashes, and each bucket sends
+    the chunk those back that recur. So a hash in a third of all rows costs each
+    chunk 8 bytes, and no row travels for an anchor.
     """
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).head()["bytes"]
+    chunks = int(size) // DEAL_BYTES + 1
+    dealt = rows.select("id", "row", "text", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_chunks(batches, "text"):
+    def spread(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+        """By slice of a chunk: text and hash of each distinct pair of them, and how often it occurs."""
+        for batch, texts in text_chunks(table.to_batches(), "text"):
             a = anchors(texts, u)
             of, _, where = a.windows(u.inner, u)
             head = _heads(of, where)
-            of, h = of[head], a.hashes[where[head]].view(np.int64)
-            row = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[of]
-            by = np.lexsort((h, row))
-            h, row = h[by], row[by]
-            head = _heads(h, row)
-            times = np.diff(np.append(head, len(h)))
-            yield pa.RecordBatch.from_arrays([pa.array(h[head]), pa.array(row[head]), pa.array(np.minimum(times, 2).astype(np.int32))], names=["hash", "row", "times"])
-
-    found = rows.select("row", "text").mapInArrow(run, "hash long, row long, times int")
-    if other_document:
-        known = found.groupBy("hash").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("hash")
-    else:
-        known = found.groupBy("hash").agg(F.sum("times").alias("n")).where("n > 1").select("hash")
-    known = stage_table(known, "recurring-hashes")
-    by_row = stage_table(found.select("hash", "row").join(known, "hash").groupBy("row").agg(F.collect_list("hash").alias("hashes")), "recurring-rows")
-    texts = stage_table(rows.join(by_row, "row").select("id", "row", "text", "hashes"), "recurring-texts")
-    release(known, by_row)
-    return texts
+            of, h = of[head], a.hashes[where[head]]
+            by = np.lexsort((h, of))
+            of, h = of[by], h[by]
+            head = _heads(of, h)
+            yield batch, of[head], h[head], np.diff(np.append(head, len(h)))
+
+    def send(table: pa.Table) -> pa.Table:
+        parts = [(h, times) for _, _, h, times in spread(table)]
+        own, at, pairs = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True, return_counts=True)
+        many = pairs > 1 if other_document else np.bincount(at, np.concatenate([t for _, t in parts]), len(own)) > 1
+        bucket = (own % np.uint64(chunks)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        cut = np.append(_heads(bucket[by]), len(by)) if len(by) else np.zeros(1, np.int64)
+        own, many, bucket = own[by], many[by], bucket[by]
+        spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        chunk = table["chunk"][0].as_py()
+        return pa.table(
+            [pa.array(bucket[cut[:-1]], pa.int32()), pa.array([chunk] * len(spans), pa.int32()), pa.array([own[i:j].tobytes() for i, j in spans], pa.binary()), pa.array([many[i:j].tobytes() for i, j in spans], pa.binary())],
+            names=["bucket", "chunk", "hashes", "many"],
+        )
+
+    def meet(table: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+        own, at = np.unique(np.concatenate(lists), return_inverse=True)
+        again = np.bincount(at, 1 + np.concatenate([np.frombuffer(x, bool) for x in table["many"].to_pylist()]), len(own))[at] > 1
+        cut = np.cumsum([0, *map(len, lists)])
+        back = [x[again[i:j]].tobytes() for x, i, j in zip(lists, cut[:-1], cut[1:], strict=True)]
+        return pa.table([table["chunk"], pa.array(back, pa.binary())], names=["chunk", "known"])
+
+    def find(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = np.sort(np.frombuffer(b"".join(right["known"].to_pylist()), np.uint64))
+        out = []
+        for batch, of, h, _ in spread(left) if len(known) else ():
+            ok = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+            of, h = of[ok], h[ok].view(np.int64)
+            head = _heads(of) if len(of) else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(of)), pa.int32()), pa.array(h))
+            own = batch.take(pa.array(of[head]))
+            out.append(pa.table([own["id"], own["row"], own["text"], lists], names=["id", "row", "text", "hashes"]))
+        kinds = left.schema
+        none = pa.table([pa.array([], kinds.field(c).type) for c in ("id", "row", "text")] + [pa.array([], pa.list_(pa.int64()))], names=["id", "row", "text", "hashes"])
+        return pa.concat_tables(out) if out else none
+
+    sent = dealt.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, hashes binary, many binary")
+    back = sent.groupBy("bucket").applyInArrow(meet, "chunk int, known binary")
+    return stage_table(dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(find, "id long, row long, text string, hashes array<long>"), "recurring-texts")
 
 
 def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
