@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from thermaquilt.llm.common import release, stage_table, text_chunks
-from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, unique_rows
+from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, sent_pieces, unique_rows
 
 #: Content of a shard of anchors whose passages make one automaton; a small one stays in the processor's cache.
 AUTOMATON_BYTES = 1 << 16
@@ -182,19 +182,19 @@ def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[
     each = pieces.groupBy("hash", "piece").agg(F.min(last).alias("low"), F.max(last).alias("high"), F.min("row").alias("row"))
     anchor = each.groupBy("hash").agg(F.min("piece").alias("piece"), F.max("piece").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"))
     each = stage_table(each.join(anchor.where("piece <> other OR low < high").select("hash"), "hash", "left_semi"), "phrase-each")
-    lists = each.groupBy("row").agg(F.collect_set("hash").alias("chosen"))
-    chosen = texts.join(lists, "row").select("id", "row", "text", F.col("chosen").alias("hashes"))
-    contents = cut_pieces(chosen, u).groupBy("hash", "piece").agg(F.min("content").alias("content"))
-    different = stage_table(contents.join(each, ["hash", "piece"]).select("hash", "piece", "content", "low", "high"), "phrase-different")
+    asked = each.groupBy("row").agg(F.collect_list(F.struct("hash", "piece", "low", "high")).alias("asked"))
+    parts = [F.col("asked")[c].alias(n) for c, n in (("hash", "hashes"), ("piece", "pieces"), ("low", "lows"), ("high", "highs"))]
+    different = stage_table(sent_pieces(texts.select("id", "row", "text").join(asked, "row").select("id", "row", "text", *parts), u), "phrase-different")
     release(each)
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")
     release(different)
     at = F.transform(F.filter(F.arrays_zip("offsets", "lows"), lambda m: m["lows"] < last), lambda m: m["offsets"] + F.col("first"))
     found = pieces.select("hash", "piece", "id", "row", "first").join(matches, ["hash", "piece"]).select("row", at.alias("starts")).where(F.size("starts") > 0)
-    starts = found.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    starts = stage_table(found.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "phrase-starts")
+    release(pieces, matches)
     hit = stage_table(texts.select("row", "text").join(starts, "row"), "phrase-hit")
-    release(texts, pieces, matches)
+    release(texts, starts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):

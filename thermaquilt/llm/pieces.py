@@ -164,48 +164,76 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
     return stage_table(dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(find, "id long, row long, text string, hashes array<long>"), "recurring-texts")
 
 
+def _pieces(batch: pa.RecordBatch, raw: list[bytes], u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Text, hash, first window, windows and content of each piece of the recurring anchors that the batch's fourth column lists."""
+    a = anchors(raw, u)
+    of, _, where = a.windows(u.inner, u)
+    head = _heads(of, where)
+    lists = batch.column(3)
+    edge = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    own, text = a.hashes[where[head]].view(np.int64), of[head]
+    known = np.zeros(len(head), bool)
+    cut = np.searchsorted(text, np.arange(len(raw) + 1))
+    for k in range(len(raw)):
+        known[cut[k] : cut[k + 1]] = np.isin(own[cut[k] : cut[k + 1]], flat[edge[k] : edge[k + 1]])
+    odd = np.concatenate([[0], np.cumsum(np.repeat(~known, np.diff(np.append(head, len(of)))))])
+    inner_first = np.searchsorted(of, np.arange(len(raw)))
+    of, at, where = a.windows(u.n, u)
+    begin = inner_first[of] + at
+    good = odd[begin + u.n - u.inner + 1] == odd[begin]
+    of, at, where = of[good], at[good], where[good]
+    head = _heads(of, where, at - np.arange(len(at))) if len(of) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(of)))
+    of, at, h = of[head], at[head], a.hashes[where[head]].view(np.int64)
+    contents = []
+    buf = a.buf.tobytes() if u.words else b""
+    for k, i, n in zip(of.tolist(), at.tolist(), (count - 1 + u.n).tolist(), strict=True):
+        if u.words:
+            i += int(a.first[k])
+            contents.append(b" ".join(buf[int(a.begin[i]) : int(a.end[i + n - 1])].split()))
+        else:
+            contents.append(raw[k][i : i + n])
+    return of, h, at, count, contents
+
+
+def _names(contents: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)
+
+
 def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
     """(hash, piece, id, row, first, windows, content) of each piece of recurring anchors; `piece` is a hash of the content, which may be left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):
-            a = anchors(raw, u)
-            of, _, where = a.windows(u.inner, u)
-            head = _heads(of, where)
-            lists = batch.column(3)
-            edge = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            own, text = a.hashes[where[head]].view(np.int64), of[head]
-            known = np.zeros(len(head), bool)
-            cut = np.searchsorted(text, np.arange(len(raw) + 1))
-            for k in range(len(raw)):
-                known[cut[k] : cut[k + 1]] = np.isin(own[cut[k] : cut[k + 1]], flat[edge[k] : edge[k + 1]])
-            odd = np.concatenate([[0], np.cumsum(np.repeat(~known, np.diff(np.append(head, len(of)))))])
-            inner_first = np.searchsorted(of, np.arange(len(raw)))
-            of, at, where = a.windows(u.n, u)
-            begin = inner_first[of] + at
-            good = odd[begin + u.n - u.inner + 1] == odd[begin]
-            of, at, where = of[good], at[good], where[good]
-            head = _heads(of, where, at - np.arange(len(at))) if len(of) else np.zeros(0, np.int64)
-            count = np.diff(np.append(head, len(of)))
-            of, at, h = of[head], at[head], a.hashes[where[head]].view(np.int64)
-            contents = []
-            buf = a.buf.tobytes() if u.words else b""
-            for k, i, n in zip(of.tolist(), at.tolist(), (count - 1 + u.n).tolist(), strict=True):
-                if u.words:
-                    i += int(a.first[k])
-                    contents.append(b" ".join(buf[int(a.begin[i]) : int(a.end[i + n - 1])].split()))
-                else:
-                    contents.append(raw[k][i : i + n])
+            of, h, at, count, contents = _pieces(batch, raw, u)
             take = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(np.fromiter(map(xxh3_64_intdigest, contents), np.uint64, len(contents)).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
+                [pa.array(h), pa.array(_names(contents)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
                 names=["hash", "piece", "id", "row", "first", "windows", *(["content"] if content else [])],
             )
 
     return texts.mapInArrow(run, "hash long, piece long, id long, row long, first int, windows int" + ", content binary" * content)
 
 
+def sent_pieces(texts: DataFrame, u: Units) -> DataFrame:
+    """(hash, piece, content, low, high) of the pieces that each row of (id, row, text, hashes, pieces, lows, highs) is asked for, once each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in text_chunks(batches, "text"):
+            asked = [dict(zip(p, zip(low, high, strict=True), strict=True)) for p, low, high in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6)), strict=True)]
+            of, h, _, _, contents = _pieces(batch, raw, u)
+            out = []
+            for k, key, name, c in zip(of.tolist(), h.tolist(), _names(contents).tolist(), contents, strict=True):
+                span = asked[k].pop(name, None)
+                if span:
+                    out.append((key, name, c, *span))
+            kinds = pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["hash", "piece", "content", "low", "high"])
+
+    return texts.mapInArrow(run, "hash long, piece long, content binary, low long, high long")
+
+
 def different_pieces(pieces: DataFrame) -> DataFrame:
     """(hash, piece, content, low, high, n): equal pieces as one, with their ids' range and number."""
     order = F.coalesce("id", F.lit((1 << 63) - 1))
