@@ -176,15 +176,14 @@ def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[
     u = Units(window, min(8, window), True, window)
     rows = unique_rows(docs, id_col, text_col)
     texts = recurring_texts(rows, u, True)
-    pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u, content=False), "phrase-pieces")
+    pieces = stage_table(cut_pieces(texts, u, content=False), "phrase-pieces")
     last = F.coalesce("id", F.lit((1 << 63) - 1))
     # Equal pieces are one, and one row sends its content.
     each = pieces.groupBy("hash", "piece").agg(F.min(last).alias("low"), F.max(last).alias("high"), F.min("row").alias("row"))
     anchor = each.groupBy("hash").agg(F.min("piece").alias("piece"), F.max("piece").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"))
     each = stage_table(each.join(anchor.where("piece <> other OR low < high").select("hash"), "hash", "left_semi"), "phrase-each")
     asked = each.groupBy("row").agg(F.collect_list(F.struct("hash", "piece", "low", "high")).alias("asked"))
-    parts = [F.col("asked")[c].alias(n) for c, n in (("hash", "hashes"), ("piece", "pieces"), ("low", "lows"), ("high", "highs"))]
-    different = stage_table(sent_pieces(texts.select("id", "row", "text").join(asked, "row").select("id", "row", "text", *parts), u), "phrase-different")
+    different = stage_table(sent_pieces(texts.join(asked, "row"), u), "phrase-different")
     release(each)
     calm, hot = by_anchor(different, lambda group: locate(group, window), _MATCHES)
     matches = stage_table(calm.unionByName(hot_windows(hot, window)), "phrase-matches")

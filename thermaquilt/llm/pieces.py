@@ -98,7 +98,7 @@ def unique_rows(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ..
 
 
 def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFrame:
-    """(id, row, text, hashes): the rows with anchors that recur, and these anchors' hashes.
+    """(id, row, text, hashes, firsts, counts): the rows with pieces of anchors that recur; by piece its anchor's hash, first window and windows.
 
     other_document: only anchors that occur in two rows or more count.
     Texts are dealt to chunks of about DEAL_BYTES. A chunk sends its distinct
@@ -110,9 +110,9 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
     chunks = int(size) // DEAL_BYTES + 1
     dealt = rows.select("id", "row", "text", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"))
 
-    def spread(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-        """By slice of a chunk: text and hash of each distinct pair of them, and how often it occurs."""
-        for batch, texts in text_chunks(table.to_batches(), "text"):
+    def send(table: pa.Table) -> pa.Table:
+        parts = []
+        for _, texts in text_chunks(table.to_batches(), "text"):
             a = anchors(texts, u)
             of, _, where = a.windows(u.inner, u)
             head = _heads(of, where)
@@ -120,10 +120,8 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
             by = np.lexsort((h, of))
             of, h = of[by], h[by]
             head = _heads(of, h)
-            yield batch, of[head], h[head], np.diff(np.append(head, len(h)))
-
-    def send(table: pa.Table) -> pa.Table:
-        parts = [(h, times) for _, _, h, times in spread(table)]
+            # Each text's distinct hashes, and how often they occur there.
+            parts.append((h[head], np.diff(np.append(head, len(h)))))
         own, at, pairs = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True, return_counts=True)
         many = pairs > 1 if other_document else np.bincount(at, np.concatenate([t for _, t in parts]), len(own)) > 1
         bucket = (own % np.uint64(chunks)).astype(np.int64)
@@ -147,53 +145,55 @@ def recurring_texts(rows: DataFrame, u: Units, other_document: bool) -> DataFram
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.sort(np.frombuffer(b"".join(right["known"].to_pylist()), np.uint64))
-        out = []
-        for batch, of, h, _ in spread(left) if len(known) else ():
-            ok = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
-            of, h = of[ok], h[ok].view(np.int64)
-            head = _heads(of) if len(of) else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(of)), pa.int32()), pa.array(h))
-            own = batch.take(pa.array(of[head]))
-            out.append(pa.table([own["id"], own["row"], own["text"], lists], names=["id", "row", "text", "hashes"]))
-        kinds = left.schema
-        none = pa.table([pa.array([], kinds.field(c).type) for c in ("id", "row", "text")] + [pa.array([], pa.list_(pa.int64()))], names=["id", "row", "text", "hashes"])
-        return pa.concat_tables(out) if out else none
+        names = ["id", "row", "text", "hashes", "firsts", "counts"]
+        out = [pa.table([*(pa.array([], left.schema.field(c).type) for c in names[:3]), *(pa.array([], pa.list_(k)) for k in (pa.int64(), pa.int32(), pa.int32()))], names=names)]
+        for batch, raw in text_chunks(left.to_batches(), "text") if len(known) else ():
+            of, h, at, count = _places(anchors(raw, u), len(raw), known, u)
+            if len(of):
+                head = _heads(of)
+                edge = pa.array(np.append(head, len(of)), pa.int32())
+                own = batch.take(pa.array(of[head]))
+                lists = (pa.ListArray.from_arrays(edge, pa.array(x, k)) for x, k in ((h.view(np.int64), pa.int64()), (at, pa.int32()), (count, pa.int32())))
+                out.append(pa.table([*(own[c] for c in names[:3]), *lists], names=names))
+        return pa.concat_tables(out)
 
     sent = dealt.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, hashes binary, many binary")
     back = sent.groupBy("bucket").applyInArrow(meet, "chunk int, known binary")
-    return stage_table(dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(find, "id long, row long, text string, hashes array<long>"), "recurring-texts")
+    return stage_table(dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(find, "id long, row long, text string, hashes array<long>, firsts array<int>, counts array<int>"), "recurring-texts")
 
 
-def _pieces(batch: pa.RecordBatch, raw: list[bytes], u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Text, hash, first window, windows and content of each piece of the recurring anchors that the batch's fourth column lists."""
-    a = anchors(raw, u)
+def _places(a: Anchors, texts: int, known: np.ndarray, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash, first window and windows of each piece whose anchors are all among the sorted hashes `known`."""
     of, _, where = a.windows(u.inner, u)
     head = _heads(of, where)
-    lists = batch.column(3)
-    edge = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    own, text = a.hashes[where[head]].view(np.int64), of[head]
-    known = np.zeros(len(head), bool)
-    cut = np.searchsorted(text, np.arange(len(raw) + 1))
-    for k in range(len(raw)):
-        known[cut[k] : cut[k + 1]] = np.isin(own[cut[k] : cut[k + 1]], flat[edge[k] : edge[k + 1]])
-    odd = np.concatenate([[0], np.cumsum(np.repeat(~known, np.diff(np.append(head, len(of)))))])
-    inner_first = np.searchsorted(of, np.arange(len(raw)))
+    own = a.hashes[where[head]]
+    ok = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+    odd = np.concatenate([[0], np.cumsum(np.repeat(~ok, np.diff(np.append(head, len(of)))))])
+    inner_first = np.searchsorted(of, np.arange(texts))
     of, at, where = a.windows(u.n, u)
     begin = inner_first[of] + at
     good = odd[begin + u.n - u.inner + 1] == odd[begin]
     of, at, where = of[good], at[good], where[good]
-    head = _heads(of, where, at - np.arange(len(at))) if len(of) else np.zeros(0, np.int64)
-    count = np.diff(np.append(head, len(of)))
-    of, at, h = of[head], at[head], a.hashes[where[head]].view(np.int64)
-    contents = []
-    buf = a.buf.tobytes() if u.words else b""
-    for k, i, n in zip(of.tolist(), at.tolist(), (count - 1 + u.n).tolist(), strict=True):
-        if u.words:
-            i += int(a.first[k])
-            contents.append(b" ".join(buf[int(a.begin[i]) : int(a.end[i + n - 1])].split()))
-        else:
-            contents.append(raw[k][i : i + n])
+    head = _heads(of, where, at - np.arange(len(at)))
+    return of[head], a.hashes[where[head]], at[head], np.diff(np.append(head, len(of)))
+
+
+def _pieces(batch: pa.RecordBatch, raw: list[bytes], u: Units, asked: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Text, hash, first window, windows and content of the pieces that the batch lists; `asked`: by text, only those of these hashes."""
+    of = np.repeat(np.arange(len(raw)), batch["hashes"].value_lengths().to_numpy(zero_copy_only=False))
+    h, at, count = (batch[c].flatten().to_numpy(zero_copy_only=False) for c in ("hashes", "firsts", "counts"))
+    if asked is not None:
+        cut = np.searchsorted(of, np.arange(len(raw) + 1))
+        ok = np.concatenate([np.zeros(0, bool), *(np.isin(h[cut[k] : cut[k + 1]], x) for k, x in enumerate(asked))])
+        of, h, at, count = of[ok], h[ok], at[ok], count[ok]
+    if u.words:
+        buf, starts, _ = concat(raw)
+        begin, end = word_spans(buf)
+        i = np.searchsorted(begin, starts)[of] + at
+        text = buf.tobytes()
+        contents = [b" ".join(text[x:y].split()) for x, y in zip(begin[i].tolist(), end[i + count + u.n - 2].tolist(), strict=True)]
+    else:
+        contents = [raw[k][x : x + n] for k, x, n in zip(of.tolist(), at.tolist(), (count - 1 + u.n).tolist(), strict=True)]
     return of, h, at, count, contents
 
 
@@ -209,7 +209,7 @@ def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
             of, h, at, count, contents = _pieces(batch, raw, u)
             take = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(_names(contents)), batch.column(0).take(take), batch.column(1).take(take), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
+                [pa.array(h), pa.array(_names(contents)), batch["id"].take(take), batch["row"].take(take), pa.array(at.astype(np.int32)), pa.array(count.astype(np.int32)), *([pa.array(contents, pa.binary())] if content else [])],
                 names=["hash", "piece", "id", "row", "first", "windows", *(["content"] if content else [])],
             )
 
@@ -217,12 +217,13 @@ def cut_pieces(texts: DataFrame, u: Units, content: bool = True) -> DataFrame:
 
 
 def sent_pieces(texts: DataFrame, u: Units) -> DataFrame:
-    """(hash, piece, content, low, high) of the pieces that each row of (id, row, text, hashes, pieces, lows, highs) is asked for, once each."""
+    """(hash, piece, content, low, high) of the pieces that each row of recurring_texts and `asked` (a list of hash, piece, low, high) is asked for, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in text_chunks(batches, "text"):
-            asked = [dict(zip(p, zip(low, high, strict=True), strict=True)) for p, low, high in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6)), strict=True)]
-            of, h, _, _, contents = _pieces(batch, raw, u)
+            lists = [[tuple(x.values()) for x in row] for row in batch["asked"].to_pylist()]
+            asked = [{piece: (low, high) for _, piece, low, high in x} for x in lists]
+            of, h, _, _, contents = _pieces(batch, raw, u, [[x[0] for x in row] for row in lists])
             out = []
             for k, key, name, c in zip(of.tolist(), h.tolist(), _names(contents).tolist(), contents, strict=True):
                 span = asked[k].pop(name, None)

@@ -308,7 +308,7 @@ def remove_repeated_bytes(docs: DataFrame, *, length: int = 400, id_col: str = "
     u = Units(length, max(1, length // 8), False, length - length * 11 // 25)
     rows = unique_rows(docs, id_col, text_col, keep)
     texts = recurring_texts(rows, u, False)
-    pieces = stage_table(cut_pieces(texts.select("id", "row", "text", "hashes"), u), "suffix-pieces")
+    pieces = stage_table(cut_pieces(texts, u), "suffix-pieces")
     different = stage_table(different_pieces(pieces), "suffix-different")
     calm, hot = by_anchor(different, lambda group: locate(group, length), _MATCHES)
     matches = stage_table(calm.unionByName(hot_strings(hot, length)), "suffix-matches")
