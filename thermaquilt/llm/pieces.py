@@ -23,6 +23,8 @@ from thermaquilt.llm.common import concat, gram_hash, prefix_hash, span_hash, st
 
 #: Hashes with so many different pieces, or more, are hot: their pieces are dealt by content, not by anchor.
 HOT_PIECES = 1000
+#: Content of whole groups that are solved at a time; more gains nothing, as it leaves the processor's cache.
+SOLVE_BYTES = 3 << 19
 #: Text of a chunk, about: what a task holds when hashes are counted.
 DEAL_BYTES = 8 << 20
 #: A table of hot hashes is broadcast up to so many rows, else joined by hash.
@@ -257,7 +259,7 @@ def by_anchor(different: DataFrame, solve: Callable, schema: str) -> tuple[DataF
         size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > 1 << 20 and row[0] != waiting[-1][0]:
+                if size > SOLVE_BYTES and row[0] != waiting[-1][0]:
                     yield from solve(waiting)
                     waiting, size = [], 0
                 waiting.append(row)

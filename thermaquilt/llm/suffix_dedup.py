@@ -42,11 +42,12 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, letters: int) -
             return
         letter = ahead[before]
         before = before - np.int32(1)
-        by = np.argsort(letter, kind="stable")
+        # Most blocks are short, so array methods are called without numpy's wrappers around them.
+        by = letter.argsort(kind="stable")
         letter, before = letter[by], before[by]
-        head = np.flatnonzero(np.concatenate([[True], letter[1:] != letter[:-1]]))
-        for a, b in zip(head.tolist(), [*head[1:].tolist(), len(before)], strict=True):
-            to[int(letter[a])].append(before[a:b])
+        head = [0, *((letter[1:] != letter[:-1]).nonzero()[0] + 1).tolist()]
+        for x, a, b in zip(letter[head].tolist(), head, [*head[1:], len(before)], strict=True):
+            to[x].append(before[a:b])
 
     # The end of the text stands before all: it induces the last suffix.
     larger[int(t[n - 1])].append(np.array([n - 1], np.int32))
