@@ -219,6 +219,24 @@ def test_scores_use_every_count(spark):
         assert got[i] == pytest.approx(whole.log10(ppm.grams([t.encode()], ppm.ORDER)[0]).sum(), rel=1e-6)
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    """Rows of lists of 1 MB, few enough for one batch by rows, as a shard of op1's trie gets; the session's own bound stays."""
+    import pyarrow as pa
+
+    from thermaquilt.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    wide = spark.range(0, 40, 1, 1).select(F.expr("cast(repeat('x', 1048576) as binary)").alias("keys"))
+    got = [r.n for r in common.stage_table(wide.mapInArrow(sizes, "n long"), "sizes").collect()]
+    assert sum(got) >= 40 << 20
+    assert max(got) <= common.BATCH_BYTES + (2 << 20)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_tokens(spark, odd, none):
     from tokenizers import Tokenizer
 

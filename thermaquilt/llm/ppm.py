@@ -66,7 +66,7 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
             if len(waiting) >= 8:
                 keys, counts = merged()
                 waiting = []
-                if len(keys) > 4 * _FLUSH:
+                if len(keys) > 2 * _FLUSH:
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["gram", "n"])
                     keys, counts = keys[:0], counts[:0]
         keys, counts = merged()
@@ -92,7 +92,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for t in texts:
                 seen.update(t.lower().split())
             seen[b""] += len(texts)
-            if len(seen) > 2 * _FLUSH:
+            if len(seen) > _FLUSH:
                 yield from rows()
                 seen.clear()
         yield from rows()
@@ -268,12 +268,13 @@ def block_chances(texts: DataFrame, counts: DataFrame, order: int, shards: int)
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counted, trie = -1, [], None
         for batch in batches:
-            for shard, block, keys, n in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for i, (shard, block) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 if shard != now:
                     now, counted, trie = shard, [], None
+                keys = batch.column(2)[i].as_py()
                 g = np.frombuffer(keys, np.uint64)
                 if block < 0:
-                    counted.append((g, np.frombuffer(n, np.int64)))
+                    counted.append((g, np.frombuffer(batch.column(3)[i].as_py(), np.int64)))
                     continue
                 if trie is None:
                     own, times = map(np.concatenate, zip(*counted, strict=True)) if counted else (np.zeros(0, np.uint64), np.zeros(0))
