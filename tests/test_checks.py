@@ -84,3 +84,25 @@ def test_upload_lost_after_the_grace(spark):
     s = spark.createDataFrame(rows, "tile string, at string, phase string").withColumn("at", F.col("at").cast("timestamp"))
     got = {r.tile: (r.state, str(r.since)) for r in E.settle_uploads(s, F.lit("2024-01-01 03:00:00"), 30).collect()}
     assert got == {"a": ("upload_lost", "2024-01-01 01:00:00"), "b": ("uploading", "2024-01-01 02:59:00"), "c": ("done", "2024-01-01 02:00:00")}
+
+
+def test_box_join_does_not_shuffle_the_cells_of_the_large_side(spark, monkeypatch):
+    from thermaquilt.operators import joins
+
+    k = F.col("id")
+    left = spark.range(500).select(k.alias("l"), (k % 60).alias("w"), (k % 40).alias("s"), (k % 60 + 5 + k % 13).alias("e"), (k % 40 + 4 + k % 9).alias("n"))
+    right = spark.range(300).select(k.alias("r"), (k % 70).alias("w2"), (k % 50).alias("s2"), (k % 70 + 6).alias("e2"), (k % 50 + 3).alias("n2"))
+    join = lambda: joins.box_join(left, right, ["w", "s", "e", "n"], ["w2", "s2", "e2", "n2"], step=8.0).select("l", "r")
+    want = {(a.l, b.r) for a in left.collect() for b in right.collect() if a.w < b.e2 and b.w2 < a.e and a.s < b.n2 and b.s2 < a.n}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = join()
+        assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+        assert len(rows) == len(want) and {(x.l, x.r) for x in rows} == want
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+        rows = join().collect()
+        assert len(rows) == len(want) and {(x.l, x.r) for x in rows} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
