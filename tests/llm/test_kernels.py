@@ -173,3 +173,25 @@ def test_automaton_locates_confirmed_windows():
     alone = phrase_dedup.confirm([(1, (7, 8, 9, 7, 8), 2, 6), (2, (5, 5, 5), 3, 3)], n)
     assert alone == {(7, 8, 9, 7, 8): (2, 3)}
     assert phrase_dedup.stream(alone, [(1, 4, (7, 8, 9, 7, 8)), (2, 5, (5, 5, 5))], n) == [(1, 4, [0, 1, 2], [2, 2, 2])]
+
+
+def test_finished_kernels_hold_no_freed_memory():
+    from pathlib import Path
+
+    from thermaquilt.llm.common import tidy
+
+    rss = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+    pins = []
+
+    def kernel(batches):
+        for b in batches:
+            held = [bytes(1000) for _ in range(200_000)]
+            pins.append(bytes(1000))  # keeps the heap's end in use
+            del held
+            yield b, rss()
+
+    (got, after_free), *_ = list(tidy(kernel)([1]))
+    assert got == 1
+    assert rss() < after_free - (100 << 20)
+    assert tidy(lambda left: left + 1)(1) == 2
+    assert tidy(lambda left, right: left + right)(1, 2) == 3

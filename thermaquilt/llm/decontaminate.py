@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermaquilt.llm.common import mix64, text_chunks
+from thermaquilt.llm.common import mix64, text_chunks, tidy
 
 #: Words of a seed, and so of the shortest tile.
 SEED = 5
@@ -175,7 +175,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, threshold: floa
                     names=["id", "item", "n_tiles", "covered", "item_tokens", "coverage"],
                 )
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(tidy(run), schema)
 
     passes = [one_pass(b) for b in _blocks(benchmark, item_id, item_text, block_tokens)]
     out = passes[0]
@@ -200,5 +200,5 @@ def drop_contamination(docs: DataFrame, benchmark: DataFrame, *, threshold: floa
                 stay[[o[0] for o in find(texts)]] = False
                 yield batch.filter(pa.array(stay))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs

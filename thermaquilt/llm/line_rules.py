@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from thermaquilt.llm.common import text_chunks
+from thermaquilt.llm.common import text_chunks, tidy
 
 #: Phrases of boilerplate lines, matched in lower case.
 BOILERPLATE = (
@@ -114,4 +114,4 @@ def clean_lines(df: DataFrame, rules: LineRules = LineRules(), *, id_col: str =
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, lost_punctuation long, lost_navigation long, lost_boilerplate long, clean_text string"
-    return df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)

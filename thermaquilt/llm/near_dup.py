@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermaquilt.llm.common import concat, gram_hash, mix64, most_frequent, prefix_hash, release, span_hash, stage_table, text_chunks, word_spans
+from thermaquilt.llm.common import concat, gram_hash, mix64, most_frequent, prefix_hash, release, span_hash, stage_table, text_chunks, tidy, word_spans
 
 #: A bucket with at most so many texts outside its largest class is paired outright; another by rare words. The pairs that must be verified are found either way.
 SMALL_BUCKET = 8
@@ -88,7 +88,7 @@ def sketch_texts(rows: DataFrame, s: OrderSettings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxh3_128_digest(t) for t in texts], pa.binary()), pa.array(sizes, pa.int64()), flat], names=["id", "text_key", "words", "bands"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text_key binary, words long, bands array<long>")
+    return rows.mapInArrow(tidy(run), f"id {kind}, text_key binary, words long, bands array<long>")
 
 
 def _few_edits(a: list[int], b: list[int], most: int) -> int | None:
@@ -198,7 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame, s: OrderSettings) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     kind = texts.schema["id"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def word_tokens(text: bytes) -> np.ndarray:
@@ -232,7 +232,7 @@ def rare_words(texts: DataFrame, s: OrderSettings) -> DataFrame:
                 keys, counts = keys[:0], counts[:0]
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
-    counts = stage_table(texts.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "omh-words")
+    counts = stage_table(texts.select("text").mapInArrow(tidy(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "omh-words")
     frequent = most_frequent(counts, "token", FREQUENT_WORDS)
     release(counts)
     known, times = (np.zeros(0, np.uint64), np.zeros(0, np.int64)) if not len(frequent) else (frequent["token"].to_numpy(np.int64).view(np.uint64), frequent["n"].to_numpy(np.int64))
@@ -254,7 +254,7 @@ def rare_words(texts: DataFrame, s: OrderSettings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take)), pa.array(np.concatenate(parts).view(np.int64))], names=["id", "token"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInArrow(run, f"id {kind}, token long")
+    return texts.select("id", "text").mapInArrow(tidy(run), f"id {kind}, token long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermaquilt.llm.common import release, stage_table, text_chunks
+from thermaquilt.llm.common import release, stage_table, text_chunks, tidy
 from thermaquilt.llm.pieces import Units, by_anchor, cut_pieces, recurring_texts, sent_pieces, unique_rows
 
 #: Content of a shard of anchors whose passages make one automaton; a small one stays in the processor's cache.
@@ -166,9 +166,9 @@ def hot_windows(pieces: DataFrame, n: int) -> DataFrame:
         kinds = pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())
         return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["hash", "piece", "offsets", "lows"])
 
-    sent = dealt.groupBy("shard").applyInArrow(send, "bucket long, shard int, digests binary, lows binary, highs binary")
-    back = sent.groupBy("bucket").applyInArrow(meet, "shard int, known binary, lows binary")
-    return dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(find, _MATCHES)
+    sent = dealt.groupBy("shard").applyInArrow(tidy(send), "bucket long, shard int, digests binary, lows binary, highs binary")
+    back = sent.groupBy("bucket").applyInArrow(tidy(meet), "shard int, known binary, lows binary")
+    return dealt.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(tidy(find), _MATCHES)
 
 
 def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -209,7 +209,7 @@ def _changed(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[
                 kept.append(b" ".join(w for w, s in zip(words, stay.tolist(), strict=True) if s).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept)], names=["row", "n_removed", "kept_text"])
 
-    return rows, hit.mapInArrow(cut, "row long, n_removed long, kept_text string")
+    return rows, hit.mapInArrow(tidy(cut), "row long, n_removed long, kept_text string")
 
 
 def remove_repeated_phrases(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

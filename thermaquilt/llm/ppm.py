@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermaquilt.llm.common import mix64, most_frequent, stage_table, text_chunks
+from thermaquilt.llm.common import mix64, most_frequent, stage_table, text_chunks, tidy
 
 #: Bytes of context of the trie's deepest nodes.
 ORDER = 4
@@ -73,7 +73,7 @@ def gram_counts(docs: DataFrame, order: int) -> DataFrame:
         for i in range(0, len(keys), _FLUSH):
             yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + _FLUSH].view(np.int64)), pa.array(counts[i : i + _FLUSH])], names=["gram", "n"])
 
-    return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 seen.clear()
         yield from rows()
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Lookup:
@@ -212,7 +212,7 @@ def in_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
             yield batch.append_column("block", pa.array(np.full(len(texts), block)))
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, text string, learn boolean, block long").withColumn("row", F.monotonically_increasing_id())
+    return rows.mapInArrow(tidy(run), f"id {kind}, text string, learn boolean, block long").withColumn("row", F.monotonically_increasing_id())
 
 
 def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
@@ -282,8 +282,8 @@ def block_chances(texts: DataFrame, counts: DataFrame, order: int, shards: int)
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([keys], pa.binary()), pa.array([trie.log10(g).tobytes()], pa.binary())], names=["block", "keys", "logs"])
 
     packed = "shard long, block long, keys binary, counts binary"
-    both = counts.mapInArrow(deal_counts, packed).union(texts.select("block", "text").mapInArrow(deal_blocks, packed))
-    return both.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(look_up, "block long, keys binary, logs binary")
+    both = counts.mapInArrow(tidy(deal_counts), packed).union(texts.select("block", "text").mapInArrow(tidy(deal_blocks), packed))
+    return both.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(look_up), "block long, keys binary, logs binary")
 
 
 def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, most_words: int = MOST_WORDS, shard_grams: int = SHARD_GRAMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -367,7 +367,7 @@ def score_texts(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_
     none = lambda **types: [F.lit(None).cast(t).alias(c) for c, t in types.items()]
     tables = chances.select("block", F.lit(0).alias("with_text"), "keys", "logs", *none(row="long", id=kind, text="string"))
     both = tables.union(rows.select("block", F.lit(1).alias("with_text"), *none(keys="binary", logs="binary"), "row", "id", "text"))
-    scored = stage_table(both.repartition("block").sortWithinPartitions("block", "with_text").mapInArrow(run, schema), "ppm-scored")
+    scored = stage_table(both.repartition("block").sortWithinPartitions("block", "with_text").mapInArrow(tidy(run), schema), "ppm-scored")
     rest = scored.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.rare_n").cast("long").alias("times"))
     seen = words if rare_from is None else words.where(F.col("n") <= rare_from)
     found = rest.join(seen, "word").groupBy("row").agg(F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("logs"))

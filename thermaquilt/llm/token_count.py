@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from thermaquilt.llm.common import text_chunks
+from thermaquilt.llm.common import text_chunks, tidy
 
 #: The splitting pattern of byte-level BPE, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -100,5 +100,5 @@ def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
-    out = rows.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    out = rows.mapInArrow(tidy(run), f"id {kind}, n_bytes long, n_tokens long")
     return out.withColumnRenamed("id", id_col)
