@@ -195,3 +195,21 @@ def test_finished_kernels_hold_no_freed_memory():
     assert rss() < after_free - (100 << 20)
     assert tidy(lambda left: left + 1)(1) == 2
     assert tidy(lambda left, right: left + right)(1, 2) == 3
+
+
+def test_plain_pattern_splits_as_the_library_does():
+    import random
+    import re
+
+    import regex
+
+    from thermaquilt.llm.token_count import PATTERN, PLAIN, plain_pattern
+
+    chars = "".join(filter(regex.compile(f"[{PLAIN}]").match, map(chr, range(0x10000))))
+    one, two = regex.compile(PATTERN).findall, re.compile(plain_pattern()).findall
+    r = random.Random(4)
+    assert all(one(f" {c}{c} a{c}1{c}  {c}") == two(f" {c}{c} a{c}1{c}  {c}") for c in chars)
+    for _ in range(3000):
+        t = "".join(r.choices(chars, k=20) + r.choices(" \t\n\x1c\x85\u3000ab1'sre.", k=40))
+        t = "".join(r.sample(t, len(t)))
+        assert one(t) == two(t)

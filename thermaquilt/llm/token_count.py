@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -20,6 +22,21 @@ CACHE_ENTRIES = 400_000
 CACHED_CHARS = 64
 
 
+def plain_pattern() -> str:
+    """PATTERN for the standard engine, half the time: its classes written out for the characters of PLAIN, the only ones that it meets."""
+    import regex
+
+    chars = "".join(filter(regex.compile(f"[{PLAIN}]").match, map(chr, range(0x10000))))
+
+    def ranges(kind: str) -> str:
+        codes = np.array([ord(c) for c in regex.findall(kind, chars)])
+        ends = np.flatnonzero(np.diff(codes) > 1)
+        return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(codes[np.append(0, ends + 1)].tolist(), codes[np.append(ends, len(codes) - 1)].tolist(), strict=True))
+
+    letter, digit, space = map(ranges, (r"\p{L}", r"\p{N}", r"\s"))
+    return f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
+
+
 def frequent_lengths(path: str) -> dict[str, int]:
     """Tier one: each vocabulary entry that is one whole pre-token, with its token count. The vocabulary bounds its size."""
     import regex
@@ -52,13 +69,16 @@ def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
         raise ValueError("count_tokens needs a byte-level BPE file without prefix space or normalizer")
     specials = [t["content"] for t in spec.get("added_tokens", [])]
     table = spark.sparkContext.broadcast(frequent_lengths(path))
+    plain = plain_pattern()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import re
+
         import regex
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        find = regex.compile(PATTERN).findall
+        find = re.compile(plain).findall
         cut = regex.compile("|".join(map(regex.escape, specials))).split if specials else None
         other = regex.compile(f"[^{PLAIN}]").search
         first = table.value
@@ -72,29 +92,34 @@ def count_tokens(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
             cache.update((w, n) for w, n in found.items() if len(w) <= CACHED_CHARS)
             return found
 
-        def count(text: str) -> int:
+        def split(text: str) -> tuple[int, list[str]]:
+            """Tokens that need no look-up, and the pre-tokens that do."""
             if not text.isascii() and other(text):
-                return len(tok.encode(text, add_special_tokens=False).ids)
+                return len(tok.encode(text, add_special_tokens=False).ids), []
             if cut and any(s in text for s in specials):
                 parts = cut(text)
-                return len(parts) - 1 + sum(map(count_plain, parts))
-            return count_plain(text)
-
-        def count_plain(text: str) -> int:
-            words = find(text)
-            one = list(map(first.get, words))
-            if None in one:
-                rest = [w for w, n in zip(words, one, strict=True) if n is None]
-                two = list(map(cache.get, rest))
-                if None in two:
-                    found = missing({w for w, n in zip(rest, two, strict=True) if n is None})
-                    two = [found[w] if n is None else n for w, n in zip(rest, two, strict=True)]
-                return sum(n for n in one if n is not None) + sum(two)
-            return sum(one)
+                return len(parts) - 1, [w for p in parts for w in find(p)]
+            return 0, find(text)
+
+        def count(texts: list[str]) -> np.ndarray:
+            """A chunk's texts together: the library takes all its new pre-tokens in one call, which costs less than half of a call a text."""
+            counted, words = zip(*map(split, texts), strict=True)
+            flat = list(chain.from_iterable(words))
+            lengths = list(map(first.get, flat))
+            rest = [i for i, n in enumerate(lengths) if n is None]
+            two = list(map(cache.get, map(flat.__getitem__, rest)))
+            if None in two:
+                found = missing({flat[i] for i, n in zip(rest, two, strict=True) if n is None})
+                two = [found[flat[i]] if n is None else n for i, n in zip(rest, two, strict=True)]
+            for i, n in zip(rest, two, strict=True):
+                lengths[i] = n
+            sums = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))])
+            ends = np.cumsum([0, *map(len, words)])
+            return sums[ends[1:]] - sums[ends[:-1]] + np.array(counted, np.int64)
 
         for batch, texts in text_chunks(batches, "text"):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([count(t.decode("utf-8", "replace")) for t in texts], pa.int64())],
+                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(count([t.decode("utf-8", "replace") for t in texts]), pa.int64())],
                 names=["id", "n_bytes", "n_tokens"],
             )
 
