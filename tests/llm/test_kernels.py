@@ -213,3 +213,15 @@ def test_plain_pattern_splits_as_the_library_does():
         t = "".join(r.choices(chars, k=20) + r.choices(" \t\n\x1c\x85\u3000ab1'sre.", k=40))
         t = "".join(r.sample(t, len(t)))
         assert one(t) == two(t)
+
+
+def test_prefixes_by_eight_bytes():
+    """Common prefixes around multiples of eight bytes, up to the text's end, against letter by letter."""
+    import numpy as np
+
+    from thermaquilt.llm.suffix_dedup import permuted_lcp, suffix_array
+
+    for n in (1, 7, 8, 9, 15, 16, 17, 40):
+        t = np.array([0, 1] * n + [2] + [0, 1] * n + [0, 0, 1, *[0] * n], np.uint8)
+        sa = suffix_array(t, 3)
+        assert permuted_lcp(t, sa, 1000).tolist() == permuted_lcp(t.astype(np.int64), sa, 1000).tolist()
