@@ -159,6 +159,11 @@ def test_rare_words_meet(spark):
     assert len(close) > 40 and all(tokens[2 * i] & tokens[2 * i + 1] for i in close)
 
 
+def test_split_expression_is_small(spark):
+    """What split_quota computes from its inputs stands in the plan once: the driver holds sixteen of them while it plans the tree."""
+    assert len(str(mixing.split_quota(F.col("good"), F.col("total"), F.col("drawn"), F.col("u")))) < 10_000
+
+
 def test_scores(spark, copies, odd, none):
     rows = texts(copies)
     learn = [t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,14 +60,22 @@ def source_targets(sizes: DataFrame, *, total_share: float, most_passes: float,
     return t.select("source", "source_size", target.alias("target"), "weight")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which stands in the expression once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _log_factorial(n: Column) -> Column:
     """ln n! by Stirling's series, exact to about 1e-10 from 0 on (shifted up by 8)."""
-    x = n.cast("double") + 9.0
-    series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    m = n.cast("double")
-    for i in range(1, 9):
-        series = series - F.log(m + float(i))
-    return series
+
+    def of(m: Column) -> Column:
+        x = m + 9.0
+        series = (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+        for i in range(1, 9):
+            series = series - F.log(m + float(i))
+        return series
+
+    return _let(n.cast("double"), of)
 
 
 def split_quota(good: Column, total: Column, drawn: Column, u: Column) -> Column:
@@ -77,16 +86,21 @@ def split_quota(good: Column, total: Column, drawn: Column, u: Column) -> Column
     begin = F.greatest(low, F.floor(drawn * share - reach).cast("long"))
     end = F.least(high, F.ceil(drawn * share + reach).cast("long"))
     pick = lambda n, r: _log_factorial(n) - _log_factorial(r) - _log_factorial(n - r)
-    at_begin = F.exp(pick(good, begin) + pick(total - good, drawn - begin) - pick(total, drawn))
     ratio = lambda a, k: (a["good"] - k) * (a["drawn"] - k) / ((k + 1.0) * (a["total"] - a["good"] - a["drawn"] + k + 1))
     fixed = lambda a: [a[c].alias(c) for c in ("good", "total", "drawn", "u")]
-    start = F.struct(good.alias("good"), total.alias("total"), drawn.alias("drawn"), u.alias("u"), at_begin.alias("p"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("k"))
-    found = F.aggregate(
-        F.sequence(begin, F.greatest(begin, end)),
-        start,
-        lambda a, k: F.struct(*fixed(a), F.when(k < F.least(a["good"], a["drawn"]), a["p"] * ratio(a, k)).otherwise(0.0).alias("p"), (a["sum"] + a["p"]).alias("sum"), F.coalesce(a["k"], F.when(a["sum"] + a["p"] >= a["u"], k)).alias("k")),
-    )
-    return F.when(high <= low, low).otherwise(F.coalesce(found["k"], F.greatest(begin, end))).cast("long")
+
+    def search(w: Column) -> Column:
+        at_begin = F.exp(pick(good, w["begin"]) + pick(total - good, drawn - w["begin"]) - pick(total, drawn))
+        start = F.struct(good.alias("good"), total.alias("total"), drawn.alias("drawn"), u.alias("u"), at_begin.alias("p"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("k"))
+        last = F.greatest(w["begin"], w["end"])
+        found = F.aggregate(
+            F.sequence(w["begin"], last),
+            start,
+            lambda a, k: F.struct(*fixed(a), F.when(k < F.least(a["good"], a["drawn"]), a["p"] * ratio(a, k)).otherwise(0.0).alias("p"), (a["sum"] + a["p"]).alias("sum"), F.coalesce(a["k"], F.when(a["sum"] + a["p"] >= a["u"], k)).alias("k")),
+        )
+        return F.coalesce(found["k"], last)
+
+    return F.when(high <= low, low).otherwise(_let(F.struct(begin.alias("begin"), end.alias("end")), search)).cast("long")
 
 
 def splitting_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
