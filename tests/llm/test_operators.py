@@ -159,6 +159,24 @@ def test_rare_words_meet(spark):
     assert len(close) > 40 and all(tokens[2 * i] & tokens[2 * i + 1] for i in close)
 
 
+def test_rare_pairs_are_made_once(spark):
+    """Every pair of different classes that shares a rare word and a bucket and fits in size, once, however many words it shares."""
+    import random
+
+    r, s, texts = random.Random(15), near_dup.OrderSettings(), []
+    for i in range(60):  # a family that shares most of 30 words, and texts apart from it
+        own = sorted(r.sample(range(30), 24)) if i < 40 else [100 + i // 2, 200 + i // 3]
+        texts.append((i, r.randrange(90, 130), i if i % 4 else 0, r.sample(range(8), 3), [*own, 1000 + i]))
+    held = spark.createDataFrame([t[:4] for t in texts], "id long, words long, label long, buckets array<long>")
+    rare = spark.createDataFrame([(t[0], t[2], k) for t in texts for k in t[4]], "id long, label long, token long")
+    want = [
+        (x[0], y[0]) for n, x in enumerate(texts) for y in texts[n + 1 :]
+        if x[2] != y[2] and abs(x[1] - y[1]) <= 0.2 * max(x[1], y[1]) + 1e-9 and set(x[3]) & set(y[3]) and set(x[4]) & set(y[4])
+    ]
+    got = sorted((x.a, x.b) for x in near_dup.rare_pairs(held, rare, s).collect())
+    assert len(want) > 300 and got == want
+
+
 def test_split_expression_is_small(spark):
     """What split_quota computes from its inputs stands in the plan once: the driver holds sixteen of them while it plans the tree."""
     assert len(str(mixing.split_quota(F.col("good"), F.col("total"), F.col("drawn"), F.col("u")))) < 10_000

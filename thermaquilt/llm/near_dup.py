@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -212,8 +212,8 @@ def word_tokens(text: bytes) -> np.ndarray:
     return mix64(words + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def rare_words(texts: DataFrame, s: OrderSettings) -> DataFrame:
-    """(id, token): enough of each text's rarest words that two similar texts have one of them in common.
+def rare_words(texts: DataFrame, s: OrderSettings, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, the columns keep, token): enough of each text's rarest words that two similar texts have one of them in common.
 
     Texts with n words, the longer one's, and at most e = (1 - similarity) n
     edits share n - e words, counted as often as they occur. If all words are
@@ -251,10 +251,32 @@ def rare_words(texts: DataFrame, s: OrderSettings) -> DataFrame:
                     n = np.where(known[at] == own, times[at], 0)
                 parts.append(own[np.lexsort((own, n))[: int((1 - s.similarity) * len(own) + 1e-9) + 1]])
             take = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take)), pa.array(np.concatenate(parts).view(np.int64))], names=["id", "token"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(take)) for c in ("id", *keep)), pa.array(np.concatenate(parts).view(np.int64))], names=["id", *keep, "token"])
 
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInArrow(tidy(run), f"id {kind}, token long")
+    kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in ("id", *keep))
+    return texts.select("id", *keep, "text").mapInArrow(tidy(run), f"{kinds}, token long")
+
+
+def rare_pairs(held: DataFrame, rare: DataFrame, s: OrderSettings) -> DataFrame:
+    """(a, b): each pair of texts of different classes that share a rare word and a bucket and whose numbers of words allow for a link, once.
+
+    held: (id, words, label, buckets), one row per text. rare: (id, label, token).
+    Texts of one family share dozens of rare words, so a join by word would make
+    a pair dozens of times. Each text's words stand in one order, the most shared
+    first, and a pair is made at its first common word: a row holds the words
+    before its own. Most pairs that met before have the very first in common.
+    """
+    of_word = Window.partitionBy("token")
+    shared = rare.select("id", "token", F.min("label").over(of_word).alias("low"), F.max("label").over(of_word).alias("high"), F.count(F.lit(1)).over(of_word).alias("n")).where("low <> high")
+    lists = shared.groupBy("id").agg(F.sort_array(F.collect_set(F.struct((-F.col("n")).alias("rank"), "token"))).getField("token").alias("tokens"))
+    rows = held.join(lists, "id").select("id", "words", "label", "buckets", "tokens", F.posexplode("tokens").alias("place", "token"))
+    before = F.slice("tokens", F.lit(1), F.col("place"))
+    keyed = stage_table(rows.select("id", "words", "label", "buckets", "token", before.alias("before"), F.get(before, F.lit(0)).alias("lead")), "omh-keyed")
+    fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
+    apart = (F.col("x.label") != F.col("y.label")) & (F.col("x.id") < F.col("y.id")) & fits
+    met = F.coalesce(F.col("x.lead") == F.col("y.lead"), F.lit(False)) | F.arrays_overlap("x.before", "y.before")
+    both = (F.col("x.token") == F.col("y.token")) & apart & ~met & F.arrays_overlap("x.buckets", "y.buckets")
+    return keyed.alias("x").join(keyed.alias("y"), both).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -344,14 +366,9 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits
     more = rest.alias("x").join(few.alias("y"), both).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     if many.head(1):
-        rare = rare_words(texts.join(many.select("id").distinct(), "id", "left_semi"), s)
-        keyed = stage_table(many.select("id", "words", "label").distinct().join(rare, "id"), "omh-rare")
-        often = stage_table(keyed.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token"), "omh-rare-shared")
-        keyed = keyed.join(often, "token")
-        close = keyed.alias("x").join(keyed.alias("y"), (F.col("x.token") == F.col("y.token")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-        # Of these, those that share a bucket; a text has `bands` buckets at most.
-        of = lambda c: many.groupBy(F.col("id").alias(c)).agg(F.collect_list("bucket").alias(f"in_{c}"))
-        more = more.union(close.join(of("a"), "a").join(of("b"), "b").where(F.arrays_overlap("in_a", "in_b")).select("a", "b"))
+        held = stage_table(many.groupBy("id", "words", "label").agg(F.collect_set("bucket").alias("buckets")), "omh-held")
+        rare = stage_table(rare_words(texts.join(held.select("id", "label"), "id"), s, keep=("label",)), "omh-rare")
+        more = more.union(rare_pairs(held, rare, s))
     more = more.distinct() if pairs is None else more.distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage_table(more, "omh-rest-pairs")
     links, label = _merge(links, more, texts, s, label)
