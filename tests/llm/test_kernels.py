@@ -1,6 +1,7 @@
 """Pure functions against brute force; no Spark."""
 
 import random
+import sys
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from thermaquilt.llm import common as C
 from thermaquilt.llm import phrase_dedup
 from thermaquilt.llm.decontaminate import greedy_tiles
 from thermaquilt.llm.line_rules import LineRules, judge_line, repeated_words
-from thermaquilt.llm.near_dup import _many_edits, banded_distance
+from thermaquilt.llm.near_dup import _few_edits, _many_edits, banded_distance
 from thermaquilt.llm.pieces import Units, anchors
 from thermaquilt.llm.ppm import Lookup, grams
 from thermaquilt.llm.suffix_dedup import permuted_lcp, repeated_starts, suffix_array
@@ -52,6 +53,36 @@ def test_banded_distance(a, b, most):
     assert _many_edits(np.array(a, np.int64), np.array(b, np.int64), most) == (d[-1] if d[-1] <= most else None)
 
 
+def test_banded_distance_steps():
+    """A pair of 700 words that are all alike but for scattered changes: the band is walked a row at a time, not a diagonal at a time."""
+    r = random.Random(4)
+    a = list(range(700))
+    b = [x if r.random() < 0.77 else -x - 1 for x in a]
+    changed = sum(x != y for x, y in zip(a, b, strict=True))
+    steps = 0
+
+    def count(*_):
+        nonlocal steps
+        steps += 1
+        return count
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        got = banded_distance(a, b, 140), banded_distance(a, b, 200)
+    finally:
+        sys.settrace(before)
+    assert got == (None, changed) and 140 < changed < 200
+    assert steps < 100_000
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60), st.lists(st.integers(0, 3), max_size=60), st.integers(0, 60))
+def test_banded_distance_by_bits(a, b, most):
+    if abs(len(a) - len(b)) <= most:
+        assert _few_edits(a, b, most) == _many_edits(np.array(a, np.int64), np.array(b, np.int64), most)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.binary(max_size=30), min_size=1, max_size=4))
 def test_word_spans_and_hashes(texts):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
-from thermaquilt.llm import chat_trees, decontaminate, line_rules, mixing, near_dup, phrase_dedup, pieces, ppm, suffix_dedup, token_count, toxicity
+from thermaquilt.llm import chat_trees, common, decontaminate, line_rules, mixing, near_dup, phrase_dedup, pieces, ppm, suffix_dedup, token_count, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -177,6 +177,48 @@ def test_rare_pairs_are_made_once(spark):
     assert len(want) > 300 and got == want
 
 
+def test_shared_words_need_no_explode(spark):
+    """The rows of shared rare words come from windows: no list of them is made and taken apart again, and no join makes them."""
+    held = spark.createDataFrame([(i, 100, i, [1]) for i in range(3)], "id long, words long, label long, buckets array<long>")
+    rare = spark.createDataFrame([(i, i, k) for i in range(3) for k in range(4)], "id long, label long, token long")
+    made = []
+    before = near_dup.stage_table
+    near_dup.stage_table = lambda df, name: (made.append(df._jdf.queryExecution().optimizedPlan().toString()), before(df, name))[1]
+    try:
+        pairs = near_dup.rare_pairs(held, rare, near_dup.OrderSettings()).collect()
+    finally:
+        near_dup.stage_table = before
+    assert sorted((x.a, x.b, x.class_a, x.class_b) for x in pairs) == [(0, 1, 0, 1), (0, 2, 0, 2), (1, 2, 1, 2)]
+    assert made and not any(k in plan for plan in made for k in ("Join", "Generate"))
+
+
+def test_merge_walks_classes(spark):
+    """Links of a later round join whole classes: each is one vertex, texts without a class so far are their own."""
+    label = spark.createDataFrame([(1, 1), (5, 1), (2, 2), (6, 2)], "id long, label long")
+    pairs = spark.createDataFrame([(5, 6, 1, 2), (3, 6, 3, 2), (8, 9, 8, 9)], "a long, b long, class_a long, class_b long")
+    same = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(20)) if i < 8 else f"t{i} " * 20) for i in range(10)], "id long, text string")
+    got = {x.id: x.label for x in near_dup._merge(pairs, same, near_dup.OrderSettings(), label).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 5: 1, 6: 1}
+
+
+def test_most_frequent_is_one_job(spark):
+    """The histogram of counts is gathered at once, not by a job for each of its partitions."""
+    counts = spark.range(4000).selectExpr("id AS key", "1 + id % 700 AS n")
+    spark.sparkContext.setJobGroup("most-frequent", "")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = common.most_frequent(counts, "key", 500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert 0 < len(got) <= 500 and got["n"].min() > 500
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("most-frequent")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) < 10
+
+
 def test_split_expression_is_small(spark):
     """What split_quota computes from its inputs stands in the plan once: the driver holds sixteen of them while it plans the tree."""
     assert len(str(mixing.split_quota(F.col("good"), F.col("total"), F.col("drawn"), F.col("u")))) < 10_000

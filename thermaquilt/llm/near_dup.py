@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ CHUNK, GROWING = 32, 0.02
 FREQUENT_WORDS = 20_000
 #: Pairs of one text above which its copies are dealt to several tasks; and rows of a table of such texts that is broadcast.
 HEAVY_PAIRS, BROADCAST_ROWS = 256, 100_000
-#: Edits up to which diagonals are walked one by one, without numpy.
-FEW_EDITS = 400
+#: Edits up to which diagonals are walked one by one; and up to which a band is a number's bits, not numpy's.
+EASY_EDITS, FEW_EDITS = 12, 2_000
 
 
 @dataclass(frozen=True)
@@ -91,8 +92,8 @@ def sketch_texts(rows: DataFrame, s: OrderSettings) -> DataFrame:
     return rows.mapInArrow(tidy(run), f"id {kind}, text_key binary, words long, bands array<long>")
 
 
-def _few_edits(a: list[int], b: list[int], most: int) -> int | None:
-    """banded_distance for short bands: the reach of each diagonal in a dict."""
+def _easy_edits(a: list, b: list, most: int) -> int | None:
+    """banded_distance for few edits: the reach of each diagonal in a dict."""
     na, nb = len(a), len(b)
     reach = {}
     for e in range(most + 1):
@@ -115,6 +116,44 @@ def _few_edits(a: list[int], b: list[int], most: int) -> int | None:
     return None
 
 
+def _few_edits(a: list, b: list, most: int) -> int | None:
+    """banded_distance with the band's differences as bits of a number, a step for each word of the shorter text (Hyyrö's bit vectors).
+
+    The sum that is kept stands at the band's lower edge, then in the last row,
+    where it can still fall by one a step.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    na, nb = len(a), len(b)
+    if not nb:
+        return na if na <= most else None
+    most = min(most, na)
+    places: dict = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | 1 << i
+    width = 2 * most + 1
+    full, edge = (1 << width) - 1, 1 << 2 * most
+    up, down, now = full ^ ((1 << most) - 1), 0, most
+    row = edge >> 1
+    for j, w in enumerate(b):
+        x = places.get(w, 0)
+        x = (x << most - j if j < most else x >> j - most) & full
+        d = ((((x & up) + up) ^ up) | x | down) & full
+        right = down | (full ^ (d | up))
+        left = d & up
+        if j < na - most:
+            now += not d & edge
+        else:
+            now += bool(right & row) - bool(left & row)
+            row >>= 1
+        if now > 2 * most + nb - na:
+            return None
+        d >>= 1
+        up = left | (full ^ (d | right))
+        down = d & right
+    return now if now <= most else None
+
+
 def _many_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """banded_distance for wide bands: all diagonals of a step at once, their common runs by bisection over sums of word codes."""
     na, nb = len(a), len(b)
@@ -150,25 +189,37 @@ def _many_edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return None
 
 
-def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
-    """Edit distance in words by the furthest reach on each diagonal; only diagonals within `most` are walked. None above it."""
+def banded_distance(a: list, b: list, most: int) -> int | None:
+    """Edit distance in words; only diagonals within `most` are walked. None above it."""
     same = 0
     while same < min(len(a), len(b)) and a[-1 - same] == b[-1 - same]:
         same += 1
     a, b = a[: len(a) - same], b[: len(b) - same]
     if abs(len(a) - len(b)) > most:
         return None
-    return _few_edits(a, b, most) if most <= FEW_EDITS else _many_edits(np.array(a, np.int64), np.array(b, np.int64), most)
+    easy = _easy_edits(a, b, min(most, EASY_EDITS))
+    if easy is not None or most <= EASY_EDITS:
+        return easy
+    if most <= FEW_EDITS:
+        return _few_edits(a, b, most)
+    code: dict = {}
+    return _many_edits(*(np.array([code.setdefault(w, len(code)) for w in x], np.int64) for x in (a, b)), most)
+
+
+@lru_cache(maxsize=2)
+def _counted(text: bytes) -> tuple[list[bytes], Counter]:
+    """Lower-case words of a text, in order and counted; pairs come sorted by one of their texts."""
+    words = text.lower().split()
+    return words, Counter(words)
 
 
 def similar(a: bytes, b: bytes, s: OrderSettings) -> bool:
     """Whether two texts align word by word with at most 1 - similarity of the longer one's words changed, added or left out."""
-    code: dict[bytes, int] = {}
-    x, y = ([code.setdefault(w, len(code)) for w in t.lower().split()] for t in (a, b))
+    (x, in_x), (y, in_y) = _counted(a), _counted(b)
     longer = max(len(x), len(y))
     most = int((1 - s.similarity) * longer + 1e-9)
     # Words that the two do not share at all must each be edited.
-    if min(len(x), len(y)) < s.shingle or longer - sum((Counter(x) & Counter(y)).values()) > most:
+    if min(len(x), len(y)) < s.shingle or longer - sum((in_x & in_y).values()) > most:
         return x == y
     # An edit changes at most two pairs of neighbours.
     if longer - 1 - sum((Counter(zip(x, x[1:], strict=False)) & Counter(zip(y, y[1:], strict=False))).values()) > 2 * most:
@@ -180,25 +231,26 @@ def similar(a: bytes, b: bytes, s: OrderSettings) -> bool:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: OrderSettings) -> DataFrame:
-    """The pairs (a, b) whose texts are similar. texts: (id, text), one row per id.
+    """The pairs (a, b, class_a, class_b) whose texts are similar. texts: (id, text), one row per id.
 
     b may be one text for a third of all pairs (a hub): above HEAVY_PAIRS its
     text has a copy for each so many pairs, so no task gets them all.
     """
     heavy = stage_table(pairs.groupBy(F.col("b").alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY_PAIRS).select("h", F.ceil(F.col("n") / HEAVY_PAIRS).cast("int").alias("copies")), "omh-heavy")
     known = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
-    dealt = pairs.join(known, F.col("b") == F.col("h"), "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).alias("copy"))
+    dealt = pairs.join(known, F.col("b") == F.col("h"), "left").select("a", "b", "class_a", "class_b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).alias("copy"))
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     two = texts.join(known, F.col("id") == F.col("h"), "left").select(F.col("id").alias("b"), F.col("text").alias("text_b"), F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
-    both = dealt.join(one, "a").join(two, ["b", "copy"]).select("a", "b", "text_a", "text_b")
+    both = dealt.join(one, "a").join(two, ["b", "copy"]).select("a", "b", "class_a", "class_b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [similar(p or b"", q or b"", s) for p, q in zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3)), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            ok = [similar(p or b"", q or b"", s) for p, q in zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (4, 5)), strict=True)]
+            yield batch.select(["a", "b", "class_a", "class_b"]).filter(pa.array(ok, pa.bool_()))
+        _counted.cache_clear()
 
     kind = texts.schema["id"].dataType.simpleString()
-    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}, class_a {kind}, class_b {kind}")
 
 
 def word_tokens(text: bytes) -> np.ndarray:
@@ -257,8 +309,12 @@ def rare_words(texts: DataFrame, s: OrderSettings, keep: tuple[str, ...] = ()) -
     return texts.select("id", *keep, "text").mapInArrow(tidy(run), f"{kinds}, token long")
 
 
+#: A pair of x and y with their classes.
+_PAIR = "x.id AS a", "y.id AS b", "x.label AS class_a", "y.label AS class_b"
+
+
 def rare_pairs(held: DataFrame, rare: DataFrame, s: OrderSettings) -> DataFrame:
-    """(a, b): each pair of texts of different classes that share a rare word and a bucket and whose numbers of words allow for a link, once.
+    """(a, b, class_a, class_b): each pair of texts of different classes that share a rare word and a bucket and whose numbers of words allow for a link, once.
 
     held: (id, words, label, buckets), one row per text. rare: (id, label, token).
     Texts of one family share dozens of rare words, so a join by word would make
@@ -268,20 +324,22 @@ def rare_pairs(held: DataFrame, rare: DataFrame, s: OrderSettings) -> DataFrame:
     """
     of_word = Window.partitionBy("token")
     shared = rare.select("id", "token", F.min("label").over(of_word).alias("low"), F.max("label").over(of_word).alias("high"), F.count(F.lit(1)).over(of_word).alias("n")).where("low <> high")
-    lists = shared.groupBy("id").agg(F.sort_array(F.collect_set(F.struct((-F.col("n")).alias("rank"), "token"))).getField("token").alias("tokens"))
-    rows = held.join(lists, "id").select("id", "words", "label", "buckets", "tokens", F.posexplode("tokens").alias("place", "token"))
-    before = F.slice("tokens", F.lit(1), F.col("place"))
-    keyed = stage_table(rows.select("id", "words", "label", "buckets", "token", before.alias("before"), F.get(before, F.lit(0)).alias("lead")), "omh-keyed")
+    # A text's own row comes before those of its words and gives them its columns.
+    of_text = Window.partitionBy("id").orderBy(F.desc_nulls_first("n"), "token")
+    upto, ahead = of_text.rowsBetween(Window.unboundedPreceding, 0), of_text.rowsBetween(Window.unboundedPreceding, -1)
+    rows = held.unionByName(shared.drop("low", "high"), allowMissingColumns=True)
+    rows = rows.select("id", *(F.first(c, ignorenulls=True).over(upto).alias(c) for c in ("words", "label", "buckets")), "token", F.collect_list("token").over(ahead).alias("before")).where("token is not null")
+    keyed = stage_table(rows.withColumn("lead", F.get("before", F.lit(0))), "omh-keyed")
     fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
     apart = (F.col("x.label") != F.col("y.label")) & (F.col("x.id") < F.col("y.id")) & fits
     met = F.coalesce(F.col("x.lead") == F.col("y.lead"), F.lit(False)) | F.arrays_overlap("x.before", "y.before")
     both = (F.col("x.token") == F.col("y.token")) & apart & ~met & F.arrays_overlap("x.buckets", "y.buckets")
-    return keyed.alias("x").join(keyed.alias("y"), both).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return keyed.alias("x").join(keyed.alias("y"), both).selectExpr(*_PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the least id of each class that links (a, b) join. Every round takes the neighbours' least label and then its label's label."""
-    both = stage_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    both = stage_table(links.select("a", "b").union(links.select("b", "a")), "links")
     labels = stage_table(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("near")), "b").groupBy(F.col("a").alias("id")).agg(F.min("near").alias("near"))
@@ -328,14 +386,14 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = stage_table(sketch_texts(rows.where("id is not null"), s), "omh-sketches")
     firsts = stage_table(known.groupBy("text_key").agg(F.min("id").alias("first"), F.first("words").alias("words"), F.first("bands").alias("bands")), "omh-texts")
-    bands = firsts.select(F.col("first").alias("id"), "words", F.explode("bands").alias("bucket")).distinct()
+    bands = firsts.select(F.col("first").alias("id"), "words", F.explode(F.array_distinct("bands")).alias("bucket"))
     sizes = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stage_table(bands.join(sizes, "bucket"), "omh-shared")
     popular = shared.groupBy("id").agg(F.sum("size").alias("popular"))
     members = stage_table(shared.join(popular, "id"), "omh-members")
     release(shared)
     texts = stage_table(rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-candidates")
-    label = pairs = links = None
+    label = pairs = None
     fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
     apart = (F.col("x.label") != F.col("y.label")) & fits & (F.col("x.id") < F.col("y.id"))
     for i in range(s.rounds + 1):
@@ -346,7 +404,7 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
         if i == s.rounds or not left.head(1):
             break
         if i == 0:
-            meet = left.where(F.col("id") != F.col("hub.id")).groupBy("id").agg(F.max("hub").getField("id").alias("hub")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+            meet = left.where(F.col("id") != F.col("hub.id")).groupBy("id").agg(F.max("hub").getField("id").alias("hub")).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct().withColumns({"class_a": F.col("a"), "class_b": F.col("b")})
         else:
             growing = left.where((F.col("top.n") > 2) & (F.col("top.n") >= GROWING * F.col("size")))
             own = growing.groupBy("id", "words", "label").agg(F.max(F.struct("size", "bucket")).getField("bucket").alias("bucket"))
@@ -355,23 +413,24 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
                 break
             chunks = own.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
             dealt = own.join(chunks, "bucket").select("id", "words", "label", F.xxhash64("bucket", F.pmod(F.xxhash64("id", F.lit(i)), "chunks")).alias("chunk"))
-            meet = dealt.alias("x").join(dealt.alias("y"), (F.col("x.chunk") == F.col("y.chunk")) & apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).join(pairs, ["a", "b"], "left_anti")
+            meet = dealt.alias("x").join(dealt.alias("y"), (F.col("x.chunk") == F.col("y.chunk")) & apart).selectExpr(*_PAIR).join(pairs, ["a", "b"], "left_anti")
         new = stage_table(meet, "omh-pairs")
         release(left)
-        links, label = _merge(links, new, texts, s, label)
+        label = _merge(new, texts, s, label)
         pairs = new if pairs is None else pairs.union(new)
     outside = F.col("size") - F.col("top.n") <= SMALL_BUCKET
     few, many = left.where(outside), left.where(~outside)
     rest = few.where(F.col("label") != F.col("top.label"))
     both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits
-    more = rest.alias("x").join(few.alias("y"), both).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    low, high = (f(F.struct("x.id", "x.label"), F.struct("y.id", "y.label")) for f in (F.least, F.greatest))
+    more = rest.alias("x").join(few.alias("y"), both).select(low.alias("low"), high.alias("high")).select(F.col("low.id").alias("a"), F.col("high.id").alias("b"), F.col("low.label").alias("class_a"), F.col("high.label").alias("class_b"))
     if many.head(1):
         held = stage_table(many.groupBy("id", "words", "label").agg(F.collect_set("bucket").alias("buckets")), "omh-held")
         rare = stage_table(rare_words(texts.join(held.select("id", "label"), "id"), s, keep=("label",)), "omh-rare")
         more = more.union(rare_pairs(held, rare, s))
     more = more.distinct() if pairs is None else more.distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage_table(more, "omh-rest-pairs")
-    links, label = _merge(links, more, texts, s, label)
+    label = _merge(more, texts, s, label)
     release(left, members, texts)
     of_text = firsts.select("text_key", "first") if label is None else firsts.join(label, firsts["first"] == label["id"], "left").select("text_key", F.coalesce("label", "first").alias("first"))
     by_row = known.select("id", "text_key").join(of_text, "text_key")
@@ -379,12 +438,15 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     return out.unionByName(docs.where(F.col(id_col).isNull()).select(F.col(id_col), F.lit(None).cast(out.schema["class_id"].dataType).alias("class_id")))
 
 
-def _merge(links: DataFrame | None, pairs: DataFrame, texts: DataFrame, s: OrderSettings, label: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links and labels with those of the pairs that are similar."""
+def _merge(pairs: DataFrame, texts: DataFrame, s: OrderSettings, label: DataFrame | None) -> DataFrame | None:
+    """Labels with the links among the pairs that are similar. A class so far is one vertex, so only what is new is walked."""
     if not pairs.head(1):
-        return links, label
+        return label
     new = stage_table(verified(pairs, texts, s), "omh-links")
     if not new.head(1):
-        return links, label
-    links = new if links is None else links.union(new)
-    return links, components(links)
+        return label
+    joined = components(new.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    if label is None:
+        return joined
+    moved = label.join(joined.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+    return stage_table(moved.union(joined.join(label, "id", "left_anti").select("id", "label")), "labels")
