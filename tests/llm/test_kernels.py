@@ -16,7 +16,7 @@ from thermaquilt.llm.line_rules import LineRules, judge_line, repeated_words
 from thermaquilt.llm.near_dup import _few_edits, _many_edits, banded_distance
 from thermaquilt.llm.pieces import Units, anchors
 from thermaquilt.llm.ppm import Lookup, grams
-from thermaquilt.llm.suffix_dedup import permuted_lcp, repeated_starts, suffix_array
+from thermaquilt.llm.suffix_dedup import _ranked, permuted_lcp, repeated_starts, suffix_array
 
 
 @settings(max_examples=200, deadline=None)
@@ -32,6 +32,44 @@ def test_suffix_array_and_lcp(t, letters):
         assert lcp[b] == n
 
 
+def _steps(f):
+    """Lines of Python that f runs, and its result."""
+    steps = 0
+
+    def count(*_):
+        nonlocal steps
+        steps += 1
+        return count
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        got = f()
+    finally:
+        sys.settrace(before)
+    return steps, got
+
+
+def test_suffix_array_steps():
+    """Near copies repeat names of leftmost-smaller suffixes for long stretches; these are ranked by arrays, not one by one."""
+    r = random.Random(6)
+    words = ["".join(r.choices("abcdefgh", k=r.randrange(3, 9))) for _ in range(300)]
+    text = " ".join(r.choices(words, k=800))
+    copies = [text[:k] + "~" + text[k:] for k in range(100, 4000, 100)]
+    t = np.frombuffer(b"\xff".join(c.encode() for c in copies), np.uint8)
+    steps, sa = _steps(lambda: suffix_array(t, 256))
+    raw = t.tobytes()
+    assert sorted(sa.tolist()) == list(range(len(t)))
+    assert all(raw[a:] < raw[b:] for a, b in zip(sa[::97].tolist(), sa[1::97].tolist(), strict=False))
+    assert steps < 200_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 1), min_size=1, max_size=200))
+def test_ranked(t):
+    assert _ranked(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.text("ab", max_size=25).map(str.encode), min_size=1, max_size=5))
 def test_repeated_starts(contents):
@@ -59,19 +97,7 @@ def test_banded_distance_steps():
     a = list(range(700))
     b = [x if r.random() < 0.77 else -x - 1 for x in a]
     changed = sum(x != y for x, y in zip(a, b, strict=True))
-    steps = 0
-
-    def count(*_):
-        nonlocal steps
-        steps += 1
-        return count
-
-    before = sys.gettrace()
-    sys.settrace(count)
-    try:
-        got = banded_distance(a, b, 140), banded_distance(a, b, 200)
-    finally:
-        sys.settrace(before)
+    steps, got = _steps(lambda: (banded_distance(a, b, 140), banded_distance(a, b, 200)))
     assert got == (None, changed) and 140 < changed < 200
     assert steps < 100_000
 
