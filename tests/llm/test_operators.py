@@ -192,6 +192,84 @@ def test_shared_words_need_no_explode(spark):
     assert made and not any(k in plan for plan in made for k in ("Join", "Generate"))
 
 
+def test_bitmaps_rule_out_no_link(spark):
+    """Bitmaps allow for every similar pair, also where one is twice as long, and rule out nearly all pairs far apart; a missing one rules nothing out."""
+    import random
+
+    r, s, rows = random.Random(21), near_dup.OrderSettings(), []
+    for i in range(240):
+        a = [f"w{r.randrange(400)}" for _ in range(r.choice([r.randrange(5, 300), 60, 62, 64, 66, 126, 130, 250, 260]))]
+        b = list(a)
+        for _ in range(int(len(a) * (0.5 if i % 4 == 0 else r.uniform(0, 0.22)))):
+            k = r.randrange(len(b))
+            b[k : k + 1] = r.choice([[], [f"n{k}"], [b[k], f"q{k}"]])
+            b = b or ["w"]
+        rows.append((i, " ".join(a), " ".join(b)))
+    bits = [(i, len(x.split()), len(y.split()), *(near_dup.word_bits(t.encode()).tolist() for t in (x, y))) for i, x, y in rows]
+    assert sum(len(p) != len(q) for *_, p, q in bits) > 20
+    both = spark.createDataFrame([*bits, (-1, 50, 50, None, [1]), (-2, 50, 50, [1], [1, 2, 3])], "id long, n long, m long, p array<long>, q array<long>")
+    x, y = both.selectExpr("id", "n AS words", "p AS bits").alias("x"), both.selectExpr("id", "m AS words", "q AS bits").alias("y")
+    may = {k for (k,) in x.join(y, F.col("x.id") == F.col("y.id")).where(near_dup.may_align(s)).select("x.id").collect()}
+    close = {i for i, x, y in rows if near_dup.similar(x.encode(), y.encode(), s)}
+    far = [i for i, x, _ in rows if i % 4 == 0 and len(x.split()) > 40]
+    assert len(close) > 100 and close <= may and {-1, -2} <= may
+    assert len(far) > 30 and sum(i in may for i in far) <= len(far) // 10
+
+
+@pytest.mark.parametrize("paired", [near_dup.PAIRED_BUCKET, 20])
+def test_family_below_the_limit_makes_few_pairs(spark, paired, monkeypatch):
+    """Texts that are all about 0.75 alike share bands and rare words, but few of their pairs are compared; every class is that of all pairs that share a band, also where larger buckets go by rare words."""
+    import random
+
+    monkeypatch.setattr(near_dup, "PAIRED_BUCKET", paired)
+    monkeypatch.setattr(near_dup, "FAMILY", near_dup.FAMILY if paired > 20 else 2)
+    r, s, form, rows = random.Random(22), near_dup.OrderSettings(), prose(23, 300).split(), []
+    for i in range(140):
+        share = 0.09 if i % 20 == 0 else 0.14
+        rows.append((i, " ".join(f"v{r.randrange(400)}" if r.random() < share else w for w in form), "s"))
+    df = frame(spark, rows)
+    bands = {x.id: set(x.bands) for x in near_dup.sketch_texts(df.selectExpr("doc_id AS id", "text"), s).collect()}
+    met = [(x, y) for x in range(140) for y in range(x + 1, 140) if bands[x] & bands[y]]
+    up = list(range(140))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for x, y in met:
+        if near_dup.similar(rows[x][1].encode(), rows[y][1].encode(), s):
+            up[max(root(x), root(y))] = min(root(x), root(y))
+    compared, words, before, by_words = [], [], near_dup.verified, near_dup.rare_pairs
+    monkeypatch.setattr(near_dup, "verified", lambda pairs, texts, s: (compared.append(pairs.count()), before(pairs, texts, s))[1])
+    monkeypatch.setattr(near_dup, "rare_pairs", lambda *a: (words.append(1), by_words(*a))[1])
+    got = {x.doc_id: x.class_id for x in near_dup.near_duplicate_classes(df).collect()}
+    assert got == {i: root(i) for i in range(140)} and len(met) > 3000 and 10 < len(set(got.values())) < 140
+    assert words if paired == 20 else sum(compared) < len(met) / 4, (sum(compared), len(met))
+
+
+def test_bucket_pairs_are_made_once(spark):
+    """Every pair of different classes that shares a bucket and fits in size, once, however many buckets it shares; bitmaps leave out only pairs that are not similar."""
+    import random
+
+    r, s, rows = random.Random(24), near_dup.OrderSettings(), []
+    form = prose(25, 120).split()
+    for i in range(50):
+        words = [f"u{i}x{k}" if r.random() < (0.05 if i % 5 else 0.13) else w for k, w in enumerate(form[: r.randrange(90, 121)])]
+        rows.append((i, " ".join(words), i if i % 3 else 0, r.sample(range(6), 2)))
+    size = Counter(k for x in rows for k in x[3])
+    table = spark.createDataFrame([(i, len(t.split()), c, k, size[k], 0) for i, t, c, b in rows for k in b], "id long, words long, label long, bucket long, size long, top long")
+    texts = spark.createDataFrame([(i, t) for i, t, *_ in rows], "id long, text string")
+    fit = {
+        (x[0], y[0]): near_dup.similar(x[1].encode(), y[1].encode(), s) for n, x in enumerate(rows) for y in rows[n + 1 :]
+        if x[2] != y[2] and set(x[3]) & set(y[3]) and abs(len(x[1].split()) - len(y[1].split())) <= 0.2 * max(len(x[1].split()), len(y[1].split())) + 1e-9
+    }
+    none = texts.selectExpr("id", "CAST(NULL AS array<long>) AS bits")
+    assert sorted((x.a, x.b) for x in near_dup.bucket_pairs(table, none, s).collect()) == sorted(fit)
+    got = [(x.a, x.b) for x in near_dup.bucket_pairs(table, near_dup.with_bits(texts), s).collect()]
+    assert len(got) == len(set(got)) < len(fit) and {p for p, close in fit.items() if close} <= set(got) <= set(fit)
+
+
 def test_merge_walks_classes(spark):
     """Links of a later round join whole classes: each is one vertex, texts without a class so far are their own."""
     label = spark.createDataFrame([(1, 1), (5, 1), (2, 2), (6, 2)], "id long, label long")

@@ -9,14 +9,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from thermaquilt.llm.common import concat, gram_hash, mix64, most_frequent, prefix_hash, release, span_hash, stage_table, text_chunks, tidy, word_spans
 
-#: A bucket with at most so many texts outside its largest class is paired outright; another by rare words. The pairs that must be verified are found either way.
-SMALL_BUCKET = 8
+#: A bucket with at most so many texts outside its largest class, with so many texts at most, or whose largest class has such a share of it is paired outright; another by rare words. The pairs that must be verified are found either way.
+SMALL_BUCKET, PAIRED_BUCKET, FAMILY = 8, 1024, 0.5
 #: Members of a chunk that meet in one round, and the share of a bucket that its largest class must have for a round there. Both only settle links sooner.
 CHUNK, GROWING = 32, 0.02
 #: Words whose counts order the words of a text from rare to frequent. Any order gives the same links; this one keeps groups small.
@@ -25,6 +25,8 @@ FREQUENT_WORDS = 20_000
 HEAVY_PAIRS, BROADCAST_ROWS = 256, 100_000
 #: Edits up to which diagonals are walked one by one; and up to which a band is a number's bits, not numpy's.
 EASY_EDITS, FEW_EDITS = 12, 2_000
+#: Bits for each word of a text's bitmap, before rounding up to a power of two. Fewer only leave more pairs to the alignment.
+WORD_BITS = 8
 
 
 @dataclass(frozen=True)
@@ -264,6 +266,51 @@ def word_tokens(text: bytes) -> np.ndarray:
     return mix64(words + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def word_bits(text: bytes) -> np.ndarray:
+    """A bitmap, in 64-bit numbers: whether an odd number of the text's words, with their occurrence, has each place. Twice the size folds to this one by exclusive or."""
+    own = word_tokens(text)
+    size = max(64, WORD_BITS << max(len(own) - 1, 0).bit_length())
+    odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def with_bits(texts: DataFrame) -> DataFrame:
+    """(id, text, bits) of texts (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in text_chunks(batches, "text"):
+            bits = [word_bits(t) for t in raw]
+            flat = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(b) for b in bits])]), pa.int32()), pa.array(np.concatenate(bits)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), flat], names=["id", "text", "bits"])
+
+    return texts.select("id", "text").mapInArrow(tidy(run), f"id {texts.schema['id'].dataType.simpleString()}, text string, bits array<long>")
+
+
+def may_align(s: OrderSettings) -> Column:
+    """Whether the bitmaps of x and y allow for a link; true where one of them is missing or more than twice as long as the other.
+
+    Texts of n and m words that have c in common (counted as often as they
+    occur) differ in n + m - 2 c words, and their bitmaps in no more places.
+    A link leaves at most e = (1 - similarity) of the longer one's words out
+    of c, so at most 2 e - |n - m| places differ. No similar pair is lost.
+    """
+    x, y = F.col("x.bits"), F.col("y.bits")
+
+    def either(p: Column, q: Column) -> Column:
+        return F.zip_with(p, q, lambda i, j: i.bitwiseXOR(j))
+
+    def fold(p: Column) -> Column:
+        half = F.floor(F.size(p) / 2).cast("int")
+        return either(F.slice(p, F.lit(1), half), F.slice(p, half + 1, half))
+
+    def differ(p: Column, q: Column) -> Column:
+        return F.aggregate(either(p, q), F.lit(0), lambda n, i: n + F.bit_count(i))
+
+    places = F.when(F.size(x) == F.size(y), differ(x, y)).when(F.size(x) == 2 * F.size(y), differ(fold(x), y)).when(2 * F.size(x) == F.size(y), differ(x, fold(y)))
+    edits = F.floor((1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9)
+    return F.coalesce(places <= 2 * edits - F.abs(F.col("x.words") - F.col("y.words")), F.lit(True))
+
+
 def rare_words(texts: DataFrame, s: OrderSettings, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, the columns keep, token): enough of each text's rarest words that two similar texts have one of them in common.
 
@@ -316,7 +363,8 @@ _PAIR = "x.id AS a", "y.id AS b", "x.label AS class_a", "y.label AS class_b"
 def rare_pairs(held: DataFrame, rare: DataFrame, s: OrderSettings) -> DataFrame:
     """(a, b, class_a, class_b): each pair of texts of different classes that share a rare word and a bucket and whose numbers of words allow for a link, once.
 
-    held: (id, words, label, buckets), one row per text. rare: (id, label, token).
+    held: (id, words, label, buckets and, if there are any, near), one row per text. rare: (id, label, token).
+    Texts that share one of the buckets near have met there.
     Texts of one family share dozens of rare words, so a join by word would make
     a pair dozens of times. Each text's words stand in one order, the most shared
     first, and a pair is made at its first common word: a row holds the words
@@ -327,16 +375,36 @@ def rare_pairs(held: DataFrame, rare: DataFrame, s: OrderSettings) -> DataFrame:
     # A text's own row comes before those of its words and gives them its columns.
     of_text = Window.partitionBy("id").orderBy(F.desc_nulls_first("n"), "token")
     upto, ahead = of_text.rowsBetween(Window.unboundedPreceding, 0), of_text.rowsBetween(Window.unboundedPreceding, -1)
+    held = held if "near" in held.columns else held.withColumn("near", F.lit(None).cast("array<long>"))
     rows = held.unionByName(shared.drop("low", "high"), allowMissingColumns=True)
-    rows = rows.select("id", *(F.first(c, ignorenulls=True).over(upto).alias(c) for c in ("words", "label", "buckets")), "token", F.collect_list("token").over(ahead).alias("before")).where("token is not null")
+    rows = rows.select("id", *(F.first(c, ignorenulls=True).over(upto).alias(c) for c in ("words", "label", "buckets", "near")), "token", F.collect_list("token").over(ahead).alias("before")).where("token is not null")
     keyed = stage_table(rows.withColumn("lead", F.get("before", F.lit(0))), "omh-keyed")
     fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
     apart = (F.col("x.label") != F.col("y.label")) & (F.col("x.id") < F.col("y.id")) & fits
-    met = F.coalesce(F.col("x.lead") == F.col("y.lead"), F.lit(False)) | F.arrays_overlap("x.before", "y.before")
+    met = F.coalesce(F.col("x.lead") == F.col("y.lead"), F.lit(False)) | F.arrays_overlap("x.before", "y.before") | F.coalesce(F.arrays_overlap("x.near", "y.near"), F.lit(False))
     both = (F.col("x.token") == F.col("y.token")) & apart & ~met & F.arrays_overlap("x.buckets", "y.buckets")
     return keyed.alias("x").join(keyed.alias("y"), both).selectExpr(*_PAIR)
 
 
+def bucket_pairs(rows: DataFrame, texts: DataFrame, s: OrderSettings) -> DataFrame:
+    """(a, b, class_a, class_b): each pair of texts of different classes that share a bucket and whose numbers of words and bitmaps allow for a link, once.
+
+    rows: (id, words, label, bucket, size, top), top the label of the bucket's
+    largest class. texts: (id, bits). A text's buckets stand in one order, the
+    largest first, and a pair is made at its first common bucket.
+    """
+    ahead = Window.partitionBy("id").orderBy(F.desc("size"), "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("id", "words", "label", "bucket", "top", F.collect_list("bucket").over(ahead).alias("before")).join(texts.select("id", "bits"), "id")
+    keyed = stage_table(rows.withColumn("lead", F.get("before", F.lit(0))), "omh-near")
+    fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
+    once = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.top")) | (F.col("x.id") < F.col("y.id"))) & fits
+    met = F.coalesce(F.col("x.lead") == F.col("y.lead"), F.lit(False)) | F.arrays_overlap("x.before", "y.before")
+    rest = keyed.where(F.col("label") != F.col("top"))
+    low, high = (f(F.struct("x.id", "x.label"), F.struct("y.id", "y.label")) for f in (F.least, F.greatest))
+    both = rest.alias("x").join(keyed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & once & ~met & may_align(s)).select(low.alias("low"), high.alias("high"))
+    return both.select(F.col("low.id").alias("a"), F.col("high.id").alias("b"), F.col("low.label").alias("class_a"), F.col("high.label").alias("class_b"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the least id of each class that links (a, b) join. Every round takes the neighbours' least label and then its label's label."""
     both = stage_table(links.select("a", "b").union(links.select("b", "a")), "links")
@@ -371,10 +439,14 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
       becomes one class in a few rounds, at CHUNK meetings a text.
     * In buckets that still hold several classes, members of different classes
       meet if their numbers of words allow for a link: all with the members
-      outside the bucket's largest class if these are SMALL_BUCKET at most,
-      else those that share one of their rarest words, as two similar texts
-      always do (see rare_words). So texts that share a common passage but no
-      rare word never meet, and no group is paired in full.
+      outside the bucket's largest class if these are SMALL_BUCKET at most, the
+      bucket has PAIRED_BUCKET at most or that class FAMILY of it, else those
+      that share one of their rarest words, as two similar texts always do (see
+      rare_words). So in a large bucket texts that share a common passage but no
+      rare word never meet.
+    * Texts that meet in a chunk or a bucket are a pair only if their bitmaps of
+      words do not rule a link out (see may_align), so a family of texts that are
+      nearly similar makes few.
 
     Null and empty texts are equal texts. Texts shorter than a shingle match
     equal texts only. Very long texts are sketched and aligned whole; alignment
@@ -392,7 +464,7 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
     popular = shared.groupBy("id").agg(F.sum("size").alias("popular"))
     members = stage_table(shared.join(popular, "id"), "omh-members")
     release(shared)
-    texts = stage_table(rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "omh-candidates")
+    texts = stage_table(with_bits(rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))), "omh-candidates")
     label = pairs = None
     fits = F.abs(F.col("x.words") - F.col("y.words")) <= (1 - s.similarity) * F.greatest("x.words", "y.words") + 1e-9
     apart = (F.col("x.label") != F.col("y.label")) & fits & (F.col("x.id") < F.col("y.id"))
@@ -412,20 +484,18 @@ def near_duplicate_classes(docs: DataFrame, settings: OrderSettings = OrderSetti
             if not own.head(1):
                 break
             chunks = own.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-            dealt = own.join(chunks, "bucket").select("id", "words", "label", F.xxhash64("bucket", F.pmod(F.xxhash64("id", F.lit(i)), "chunks")).alias("chunk"))
-            meet = dealt.alias("x").join(dealt.alias("y"), (F.col("x.chunk") == F.col("y.chunk")) & apart).selectExpr(*_PAIR).join(pairs, ["a", "b"], "left_anti")
+            dealt = own.join(chunks, "bucket").join(texts.select("id", "bits"), "id").select("id", "words", "label", "bits", F.xxhash64("bucket", F.pmod(F.xxhash64("id", F.lit(i)), "chunks")).alias("chunk"))
+            meet = dealt.alias("x").join(dealt.alias("y"), (F.col("x.chunk") == F.col("y.chunk")) & apart & may_align(s)).selectExpr(*_PAIR).join(pairs, ["a", "b"], "left_anti")
         new = stage_table(meet, "omh-pairs")
         release(left)
         label = _merge(new, texts, s, label)
         pairs = new if pairs is None else pairs.union(new)
-    outside = F.col("size") - F.col("top.n") <= SMALL_BUCKET
-    few, many = left.where(outside), left.where(~outside)
-    rest = few.where(F.col("label") != F.col("top.label"))
-    both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & fits
-    low, high = (f(F.struct("x.id", "x.label"), F.struct("y.id", "y.label")) for f in (F.least, F.greatest))
-    more = rest.alias("x").join(few.alias("y"), both).select(low.alias("low"), high.alias("high")).select(F.col("low.id").alias("a"), F.col("high.id").alias("b"), F.col("low.label").alias("class_a"), F.col("high.label").alias("class_b"))
+    near = (F.col("size") - F.col("top.n") <= SMALL_BUCKET) | (F.col("size") <= PAIRED_BUCKET) | (F.col("top.n") >= FAMILY * F.col("size"))
+    many = left.where(~near)
+    more = bucket_pairs(left.where(near).withColumn("top", F.col("top.label")), texts, s)
     if many.head(1):
-        held = stage_table(many.groupBy("id", "words", "label").agg(F.collect_set("bucket").alias("buckets")), "omh-held")
+        held = many.groupBy("id", "words", "label").agg(F.collect_set("bucket").alias("buckets"))
+        held = stage_table(held.join(left.where(near).groupBy("id").agg(F.collect_set("bucket").alias("near")), "id", "left"), "omh-held")
         rare = stage_table(rare_words(texts.join(held.select("id", "label"), "id"), s, keep=("label",)), "omh-rare")
         more = more.union(rare_pairs(held, rare, s))
     more = more.distinct() if pairs is None else more.distinct().join(pairs, ["a", "b"], "left_anti")
