@@ -106,3 +106,37 @@ def test_box_join_does_not_shuffle_the_cells_of_the_large_side(spark, monkeypatc
         assert len(rows) == len(want) and {(x.l, x.r) for x in rows} == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_box_join_makes_its_pairs_list_by_list(spark, tmp_path):
+    """A file of pairs takes a fraction of a byte for each; in the left side's order it takes bytes."""
+    from thermaquilt.operators import joins
+
+    k = F.col("id")
+    h = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
+    left = spark.range(30_000).select((k * 7).alias("l"), h(60).alias("w"), h(40).alias("s"), (h(60) + 5 + h(13)).alias("e"), (h(40) + 4 + h(9)).alias("n")).repartition(2, "l")
+    right = spark.range(9_000).select(k.alias("r"), (k % 70).alias("w2"), (k % 50).alias("s2"), (k % 70 + 6).alias("e2"), (k % 50 + 3).alias("n2"))
+    got = joins.box_join(left, right, ["w", "s", "e", "n"], ["w2", "s2", "e2", "n2"], step=8.0).select("l", "r")
+    got.write.parquet(str(tmp_path / "pairs"), compression="snappy")
+    size = sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet"))
+    x, y = (df.groupBy(*b).agg(F.count("*").alias(n)) for df, b, n in ((left, "wsen", "a"), (right, ("w2", "s2", "e2", "n2"), "b")))
+    want = x.join(y, F.expr("w < e2 AND w2 < e AND s < n2 AND s2 < n")).agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    assert want > 5_000_000 and pairs.count() == want
+    assert size < want / 2
+
+
+def test_box_join_keeps_each_row_and_column(spark, monkeypatch):
+    """Equal rows, nulls beside the box, boxes that only touch, and boxes with a null side."""
+    from thermaquilt.operators import joins
+
+    left = spark.createDataFrame([(1, 0.0, 0.0, 9.0, 9.0), (1, 0.0, 0.0, 9.0, 9.0), (2, -20.0, -9.5, -8.0, 0.5), (None, 8.0, 8.0, 16.0, 16.0), (3, None, 0.0, 9.0, 9.0)], "l int, w double, s double, e double, n double")
+    rows = [("a", -0.0, 0.0, 1.0, 1.0, [1]), ("a", 0.0, 0.0, 1.0, 1.0, [1]), (None, 0.0, 0.0, 1.0, 1.0, None), ("t", 9.0, 0.0, 10.0, 9.0, []), ("c", -30.0, -30.0, 30.0, 30.0, None), ("d", 0.0, None, 1.0, 1.0, [])]
+    right = spark.createDataFrame(rows, "r string, w2 double, s2 double, e2 double, n2 double, more array<int>")
+    want = sorted(map(str, ((*a, *b) for a in left.collect() for b in right.collect() if None not in (*a[1:], *b[1:5]) and a.w < b.e2 and b.w2 < a.e and a.s < b.n2 and b.s2 < a.n)))
+    assert len(want) == 11
+    for most in (joins.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+        got = joins.box_join(left, right, ["w", "s", "e", "n"], ["w2", "s2", "e2", "n2"], step=8.0)
+        assert got.columns == [*left.columns, *right.columns]
+        assert sorted(str(tuple(x)) for x in got.collect()) == want
